@@ -21,5 +21,5 @@ def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
     chord = F.pow(F.sin((F.radians(lat2) - F.radians(lat1)) / 2), two) + (
         cosines * F.pow(F.sin((F.radians(lon2) - F.radians(lon1)) / 2), two)
     )
-    finite = ~F.isnan((lon1 + lat1 + lon2 + lat2) * 0.0)
+    finite = (lon1 + lat1 + lon2 + lat2) * 0.0 == 0.0
     return F.when(finite, EARTH_RADIUS_KM * 2 * F.asin(F.sqrt(F.least(F.lit(1.0), chord))))
