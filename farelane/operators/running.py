@@ -22,23 +22,22 @@ def running_total(
     """Add ``running``, the sum of ``value`` over the group's rows up to and including the
     current one, and ``total``, the sum of ``overall`` over the whole group.
 
-    ``order`` has to be total within a group. A narrow count first looks for groups of more
-    than ``hot_rows`` rows. Without any, a window per group does. Hot groups are cut into
+    ``order`` has to be total within a group. A narrow count first looks for groups that are
+    too large for one task. Without any, a window per group does. Hot groups are cut into
     ranges of their order instead, so that no task holds more than a slice of one.
     """
     df = df.withColumns({"value_": value, "overall_": overall})
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("rows_"))
     rows, largest = sizes.agg(F.sum("rows_"), F.max("rows_")).first()
-    if (largest or 0) <= hot_rows:
+    # At most MAX_HOT_GROUPS groups exceed the limit, so their keys may be broadcast, and
+    # twice that many slices cover them.
+    limit = max(hot_rows, (rows or 0) // MAX_HOT_GROUPS)
+    if (largest or 0) <= limit:
         return _window_totals(df, group, order).drop("value_", "overall_")
 
-    # No more than MAX_HOT_GROUPS groups can be this large, so their keys may be broadcast.
-    threshold = max(hot_rows, rows // MAX_HOT_GROUPS)
-    hot_keys = F.broadcast(sizes.filter(F.col("rows_") > threshold).select(*group))
+    hot_keys = F.broadcast(sizes.filter(F.col("rows_") > limit).select(*group))
     cold = _window_totals(df.join(hot_keys, group, "left_anti"), group, order)
-    hot = _sliced_totals(
-        df.join(hot_keys, group, "left_semi"), group, order, slices=2 * rows // hot_rows + 2
-    )
+    hot = _sliced_totals(df.join(hot_keys, group, "left_semi"), group, order, 2 * rows // limit + 2)
     return cold.unionByName(hot).drop("value_", "overall_")
 
 

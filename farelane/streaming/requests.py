@@ -54,7 +54,9 @@ def validate(df: DataFrame) -> DataFrame:
         "array<map<string,string>>",
         {"allowSingleQuotes": "false"},
     )
-    parsed = df.withColumn("read_", alone).withColumn(
+    # Generated rather than projected: a later filter on the errors then stays above the
+    # parsing instead of repeating it for every field it looks at.
+    parsed = df.select("*", F.explode(F.array(alone)).alias("read_")).withColumn(
         "fields_", F.when(F.size("read_") == 1, F.get("read_", F.lit(0)))
     )
     typed = {name: _number(name) for name in BOUNDS}
