@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.catalog import query, sql
@@ -13,12 +13,13 @@ from farelane.sources.readers import read_requests
 from farelane.streaming import requests as r
 from farelane.streaming.scoring import read_scored, score_stream
 
-_ERROR_TEXT = F.array_join("errors", ",").alias("errors")
+def _error_text() -> Column:
+    return F.array_join("errors", ",").alias("errors")
 
 
 @query(f"WITH {sql.REQUESTS} SELECT key, array_to_string(errors, ',') AS errors FROM checked")
 def validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.validate(requests(spark, sf_dir)).select("key", _ERROR_TEXT)
+    return r.validate(requests(spark, sf_dir)).select("key", _error_text())
 
 
 @query(
@@ -26,7 +27,7 @@ def validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE len(errors) > 0"""
 )
 def reject_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.rejects(r.validate(requests(spark, sf_dir))).select("key", "value", _ERROR_TEXT)
+    return r.rejects(r.validate(requests(spark, sf_dir))).select("key", "value", _error_text())
 
 
 @query(
@@ -56,7 +57,7 @@ def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = validated.select("value", "errors").writeStream.format("parquet")
     stream = stream.option("checkpointLocation", fresh_path(spark, "progress"))
     stream.trigger(availableNow=True).start(out).awaitTermination()
-    return spark.read.parquet(out).select("value", _ERROR_TEXT)
+    return spark.read.parquet(out).select("value", _error_text())
 
 
 @query()

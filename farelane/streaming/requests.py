@@ -18,9 +18,6 @@ BOUNDS = {
 }
 NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
-_fields = F.col("fields_")
-
-
 def _number(name: str) -> Column:
     text = F.get(_fields_of(name), F.lit(0))
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
@@ -28,7 +25,7 @@ def _number(name: str) -> Column:
 
 def _fields_of(name: str) -> Column:
     # All values given for the name; the last one counts.
-    entries = F.filter(F.map_entries(_fields), lambda e: e["key"] == name)
+    entries = F.filter(F.map_entries("fields_"), lambda e: e["key"] == name)
     return F.reverse(F.transform(entries, lambda e: e["value"]))
 
 
@@ -71,10 +68,10 @@ def validate(df: DataFrame) -> DataFrame:
     checks.append(_error("pickup_datetime", F.col("pickup_datetime").isNotNull(), F.lit(True)))
     known = F.array(*[F.lit(name) for name in TRIP_REQUEST.fieldNames()])
     unknown = F.transform(
-        F.array_sort(F.array_except(F.map_keys(_fields), known)),
+        F.array_sort(F.array_except(F.map_keys("fields_"), known)),
         lambda name: F.concat(name, F.lit(":unknown")),
     )
-    errors = F.when(_fields.isNull(), F.array(F.lit("request:invalid"))).otherwise(
+    errors = F.when(F.isnull("fields_"), F.array(F.lit("request:invalid"))).otherwise(
         F.concat(F.array_compact(F.array(*checks)), unknown)
     )
     return parsed.withColumn("errors", errors).drop("read_", "fields_")

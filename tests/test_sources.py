@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from farelane.schema import TRIPS
+from farelane.session import shared_dir
+from farelane.sources import sinks
+from farelane.sources.derived import trips
+from farelane.sources.readers import (
+    dataset_profile,
+    file_format,
+    read_any,
+    read_trip_rejects,
+    read_trips,
+)
+
+CSV = """dropoff_latitude,key,fare_amount,note,pickup_datetime,pickup_longitude,pickup_latitude,dropoff_longitude,passenger_count
+40.8,1,4.5,fine,2009-06-15 17:26:21 UTC,-73.9,40.7,-73.8,1
+40.8,2,NaN,nan fare,2009-06-15 17:26:21+00:00,-73.9,40.7,-73.8,2.0
+40.8,3,,nothing,,,,,
+40.8,4,abc,bad fare,2009-06-15 17:26:21 UTC,-73.9,40.7,-73.8,1
+40.8,5,4.5,bad time,yesterday,-73.9,40.7,-73.8,1
+40.8,6,4.5,too short
+40.8,2009-06-15 17:26:21.0000001,4.5,text key,2009-06-15 17:26:21 UTC,-73.9,40.7,-73.8,1
+"""
+
+
+@pytest.fixture
+def csv_path(tmp_path):
+    path = tmp_path / "trips.csv"
+    path.write_text(CSV)
+    return str(path)
+
+
+def test_csv_is_typed_by_name(spark, csv_path):
+    df = read_trips(spark, csv_path)
+    assert df.columns == [*TRIPS.fieldNames(), "note"]
+    assert [df.schema[n].dataType for n in TRIPS.fieldNames()] == [f.dataType for f in TRIPS]
+    rows = {r.note: r for r in df.collect()}
+    assert set(rows) == {"fine", "nan fare", "nothing", "text key"}
+    assert rows["fine"].fare_amount == 4.5 and rows["fine"].dropoff_latitude == 40.8
+    at = df.select(F.unix_seconds("pickup_datetime")).first()[0]
+    assert at == int(dt.datetime(2009, 6, 15, 17, 26, 21, tzinfo=dt.timezone.utc).timestamp())
+    assert rows["nan fare"].fare_amount is None and rows["nan fare"].passenger_count == 2
+    assert rows["nothing"].pickup_datetime is None and rows["nothing"].key == 3
+    assert rows["text key"].key not in (None, 1, 2, 3)
+
+
+def test_csv_rejects(spark, csv_path):
+    rejects = read_trip_rejects(spark, csv_path)
+    assert {r.key for r in rejects.collect()} == {"4", "5", "6"}
+    # What a query selects does not change which lines are bad.
+    assert read_trips(spark, csv_path).count() == 4
+    assert read_trips(spark, csv_path).select("dropoff_latitude").count() == 4
+    assert rejects.select("note").count() == 3
+
+
+def test_parquet_casts(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    trips(spark, "/root/testdata/sf0.001").select(
+        F.col("key").cast("int"),
+        F.col("fare_amount").cast("decimal(10,4)"),
+        F.col("pickup_datetime").cast("timestamp_ntz"),
+        *[F.col(n) for n in TRIPS.fieldNames() if n.endswith("tude")],
+        F.when(F.col("passenger_count").isNull(), F.lit(float("nan")))
+        .otherwise(F.col("passenger_count").cast("double"))
+        .alias("passenger_count"),
+    ).write.parquet(path)
+    got = read_trips(spark, path)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in TRIPS]
+    assert got.exceptAll(trips(spark, "/root/testdata/sf0.001")).isEmpty()
+
+
+def test_key_is_added(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    trips(spark, "/root/testdata/sf0.001").drop("key").write.parquet(path)
+    got = read_trips(spark, path)
+    assert got.columns == TRIPS.fieldNames()
+    assert got.select("key").distinct().count() == 1000
+
+
+def test_not_a_trip_table(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="pickup_datetime"):
+        read_trips(spark, path)
+
+
+def test_formats():
+    assert file_format("s3://bucket/x.parquet") == "parquet"
+    assert file_format("/data/x.csv") == "csv"
+    with pytest.raises(ValueError, match="x.json"):
+        file_format("x.json")
+
+
+def test_read_any(spark, tmp_path, csv_path):
+    assert read_any(spark, csv_path).count() == 7
+    requests = read_any(spark, csv_path).drop("fare_amount", "passenger_count")
+    path = str(tmp_path / "r.parquet")
+    requests.write.parquet(path)
+    assert read_any(spark, path).columns == requests.columns
+    with pytest.raises(ValueError):
+        read_any(spark, "r.orc")
+
+
+def test_splits_are_reused(spark, tmp_path):
+    path, root = str(tmp_path / "t.parquet"), str(tmp_path / "splits")
+    df = trips(spark, "/root/testdata/sf0.001")
+    df.write.parquet(path)
+    assert not sinks.has_splits(spark, root)
+    training, validation = sinks.load_or_split(spark, path, root, sample_rows=400)
+    assert (training.count(), validation.count()) == (225, 75)
+    assert sinks.read_split(spark, root, "test").count() == 100
+    assert sinks.has_splits(spark, root)
+    # A second call reads what is there, whatever the input says.
+    again, _ = sinks.load_or_split(spark, str(tmp_path / "gone.parquet"), root)
+    assert again.exceptAll(training).isEmpty() and again.count() == 225
+
+
+def test_predictions_do_not_overwrite(spark, tmp_path):
+    out = str(tmp_path / "p")
+    sinks.write_predictions(spark.range(100), out, files=4)
+    assert len(list((tmp_path / "p").glob("part-*.parquet"))) == 4
+    with pytest.raises(AnalysisException):
+        sinks.write_predictions(spark.range(100), out)
+
+
+def test_profile(spark, tmp_path, csv_path):
+    path = "/root/testdata/sf0.001/events.parquet"
+    from pathlib import Path
+
+    row = dataset_profile(spark, path).first()
+    assert (row.bytes, row.total_rows, row.head_rows) == (Path(path).stat().st_size, 1000, 100)
+    row = dataset_profile(spark, csv_path).first()
+    assert (row.bytes, row.total_rows, row.head_rows) == (len(CSV), 4, 0)
+
+
+def test_shared_dir_follows_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
