@@ -74,7 +74,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derive(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
-    return events(spark, sf_dir).select(*[F.expr(sql).alias(n) for n, sql in columns.items()])
+    # Generated, one row per event, rather than projected: filters then look at the derived
+    # values, as they would at stored ones, and not at copies of the expressions.
+    row = F.struct(*[F.expr(sql).alias(name) for name, sql in columns.items()])
+    return events(spark, sf_dir).select(F.inline(F.array(row)))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

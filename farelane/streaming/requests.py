@@ -18,32 +18,33 @@ BOUNDS = {
 }
 NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
-def _number(name: str) -> Column:
-    text = F.get(_fields_of(name), F.lit(0))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+def _given(name: str) -> Column:
+    return F.array_position("names_", name)
+
 
+def _text(name: str) -> Column:
+    return F.get("texts_", (_given(name) - 1).cast("int"))
 
-def _fields_of(name: str) -> Column:
-    # All values given for the name; the last one counts.
-    entries = F.filter(F.map_entries("fields_"), lambda e: e["key"] == name)
-    return F.reverse(F.transform(entries, lambda e: e["value"]))
+
+def _number(name: str) -> Column:
+    return F.when(_text(name).rlike(NUMBER), _text(name).try_cast("double"))
 
 
 def _error(name: str, valid: Column, in_range: Column) -> Column:
-    given = _fields_of(name)
     return (
-        F.when(F.size(given) == 0, f"{name}:required")
-        .when(F.get(given, F.lit(0)).isNull(), f"{name}:null")
+        F.when(_given(name) == 0, f"{name}:required")
+        .when(_text(name).isNull(), f"{name}:null")
         .when(~valid, f"{name}:invalid")
         .when(~in_range, f"{name}:range")
     )
 
 
-def validate(df: DataFrame) -> DataFrame:
-    """Parse the JSON in ``value`` and add the typed request columns and ``errors``.
+def _read_json(df: DataFrame) -> DataFrame:
+    """Add the field names and texts of the JSON object in ``value``, null if it is none.
 
-    The codes are ``field:required|null|invalid|range|unknown``, all of a request's together,
-    and ``request:invalid`` where the text is no JSON object.
+    The last of equally named fields comes first and so is the one that counts. Both steps
+    generate rather than project, one row for one: a later filter on the errors then stays
+    above the parsing instead of repeating it for every field it looks at.
     """
     # Read as the only element of an array, since the parser ignores text after a whole value.
     alone = F.from_json(
@@ -51,15 +52,23 @@ def validate(df: DataFrame) -> DataFrame:
         "array<map<string,string>>",
         {"allowSingleQuotes": "false"},
     )
-    # Generated rather than projected: a later filter on the errors then stays above the
-    # parsing instead of repeating it for every field it looks at.
-    parsed = df.select("*", F.explode(F.array(alone)).alias("read_")).withColumn(
-        "fields_", F.when(F.size("read_") == 1, F.get("read_", F.lit(0)))
+    read = df.select("*", F.explode(F.array(alone)).alias("read_"))
+    fields = F.when(F.size("read_") == 1, F.get("read_", F.lit(0)))
+    reversed_fields = F.struct(
+        F.reverse(F.map_keys(fields)).alias("names_"), F.reverse(F.map_values(fields)).alias("texts_")
     )
+    return read.select("*", F.inline(F.array(reversed_fields))).drop("read_")
+
+
+def validate(df: DataFrame) -> DataFrame:
+    """Parse the JSON in ``value`` and add the typed request columns and ``errors``.
+
+    The codes are ``field:required|null|invalid|range|unknown``, all of a request's together,
+    and ``request:invalid`` where the text is no JSON object.
+    """
     typed = {name: _number(name) for name in BOUNDS}
-    time_text = F.get(_fields_of("pickup_datetime"), F.lit(0))
-    typed["pickup_datetime"] = parse_request_timestamp(time_text)
-    parsed = parsed.withColumns(typed)
+    typed["pickup_datetime"] = parse_request_timestamp(_text("pickup_datetime"))
+    parsed = _read_json(df).withColumns(typed)
 
     checks = [
         _error(name, F.col(name).isNotNull(), F.col(name).between(-bound, bound))
@@ -68,13 +77,12 @@ def validate(df: DataFrame) -> DataFrame:
     checks.append(_error("pickup_datetime", F.col("pickup_datetime").isNotNull(), F.lit(True)))
     known = F.array(*[F.lit(name) for name in TRIP_REQUEST.fieldNames()])
     unknown = F.transform(
-        F.array_sort(F.array_except(F.map_keys("fields_"), known)),
-        lambda name: F.concat(name, F.lit(":unknown")),
+        F.array_sort(F.array_except("names_", known)), lambda name: F.concat(name, F.lit(":unknown"))
     )
-    errors = F.when(F.isnull("fields_"), F.array(F.lit("request:invalid"))).otherwise(
+    errors = F.when(F.isnull("names_"), F.array(F.lit("request:invalid"))).otherwise(
         F.concat(F.array_compact(F.array(*checks)), unknown)
     )
-    return parsed.withColumn("errors", errors).drop("read_", "fields_")
+    return parsed.withColumn("errors", errors).drop("names_", "texts_")
 
 
 def load_valid(validated: DataFrame) -> DataFrame:
