@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from farelane.catalog import query, sql
 from farelane.operators import demand
-from farelane.plans.explore import explore_clean
+from farelane.plans.explore import DEMAND_WIDTHS, explore_clean
 from farelane.sources.derived import trips
 
-HALF_HOUR_NAME = "n_trips_up_to_30_min_before"
-HOUR_NAME = "n_trips_up_to_1_h_before"
+HALF_HOUR_NAME, HOUR_NAME = DEMAND_WIDTHS
 
 
 def _counted(spark: SparkSession, sf_dir: str, width_us: int, name: str) -> DataFrame:

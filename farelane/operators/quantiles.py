@@ -20,23 +20,35 @@ from pyspark.sql import types as T
 
 GRID = 100
 CELLS = 4096
-SKETCH_ACCURACY = 10_000
+# Half a grid step. The sketches of all tasks meet in one, so they are kept small.
+SKETCH_ACCURACY = 200
 
 
 @dataclass(frozen=True)
-class OrderStat:
-    """The value at a rank, how many values are smaller, and how many are equal to it."""
+class Cell:
+    """Consecutive values: their bounds, how many there are and how many are smaller."""
 
-    value: float | int
+    lo: float | int
+    hi: float | int
     below: int
-    ties: int
+    n: int
+
+    def value_at(self, rank: int) -> float | int:
+        return self.lo if rank == self.below else self.hi
 
 
 def order_stats(
-    df: DataFrame, column: Column | str, ranks_of: Callable[[int], Iterable[int]]
-) -> tuple[int, dict[int, OrderStat]]:
-    """The non-null count of a numeric column and its values at the 0-based ranks that
-    ``ranks_of`` names for that count. NaN counts as null."""
+    df: DataFrame,
+    column: Column | str,
+    ranks_of: Callable[[int], Iterable[int]],
+    with_ties: bool = True,
+) -> tuple[int, dict[int, Cell]]:
+    """The non-null count of a numeric column and, for the 0-based ranks that ``ranks_of``
+    names for that count, the cell holding just the values equal to the one at the rank.
+
+    Without ``with_ties`` a cell that begins or ends at the rank will do, since its bound is
+    the value. NaN counts as null.
+    """
     source = F.col(column) if isinstance(column, str) else column
     values = df.select(source.alias("v"))
     integral = isinstance(values.schema["v"].dataType, T.IntegralType)
@@ -49,7 +61,7 @@ def order_stats(
     count, cuts = values.agg(
         F.count("v"), F.percentile_approx("v", grid, SKETCH_ACCURACY)
     ).first()
-    found: dict[int, OrderStat] = {}
+    found: dict[int, Cell] = {}
     pending = {r: _bracket(cuts, r, count) for r in set(ranks_of(count)) if 0 <= r < count}
     while pending:
         spans = _merge(pending.values())
@@ -58,11 +70,13 @@ def order_stats(
         still = {}
         for rank in pending:
             at = bisect.bisect_right(ends, rank)
-            cell = cells[at]
-            if cell["lo"] == cell["hi"]:
-                found[rank] = OrderStat(cell["lo"], ends[at] - cell["n"], cell["n"])
+            row = cells[at]
+            cell = Cell(row["lo"], row["hi"], ends[at] - row["n"], row["n"])
+            at_bound = rank in (cell.below, ends[at] - 1)
+            if cell.lo == cell.hi or (at_bound and not with_ties):
+                found[rank] = cell
             else:
-                still[rank] = (cell["lo"], cell["hi"])
+                still[rank] = (cell.lo, cell.hi)
         pending = still
     return count, found
 
@@ -122,11 +136,11 @@ def exact_quantile(df: DataFrame, column: Column | str, q: float) -> float | Non
         at = (count - 1) * q
         return [math.floor(at), math.ceil(at)]
 
-    count, stats = order_stats(df, column, around)
+    count, cells = order_stats(df, column, around, with_ties=False)
     if count == 0:
         return None
     at = (count - 1) * q
-    low, high = (float(stats[r].value) for r in around(count))
+    low, high = (float(cells[r].value_at(r)) for r in around(count))
     return low + (high - low) * (at - math.floor(at)) if high != low else low
 
 
@@ -147,15 +161,15 @@ def rank_cuts(
     """The row count and, for each n in ``sizes(count)``, the cut after n rows in the order
     of the given non-null numeric columns. Later columns are read only to part rows that are
     level in the earlier ones at a cut."""
-    count, stats = order_stats(df, order[0], lambda n: [s - 1 for s in sizes(n)])
+    count, cells = order_stats(df, order[0], lambda n: [s - 1 for s in sizes(n)])
     cuts = []
     for size in sizes(count):
         if size <= 0 or size >= count:
             cuts.append(RankCut(F.lit(size > 0), F.lit(False), 0, 0))
             continue
-        stat = stats[size - 1]
-        inside, tied = order[0] < F.lit(stat.value), order[0] == F.lit(stat.value)
-        take, ties = size - stat.below, stat.ties
+        cell = cells[size - 1]
+        inside, tied = order[0] < F.lit(cell.lo), order[0] == F.lit(cell.lo)
+        take, ties = size - cell.below, cell.n
         if take < ties and len(order) > 1:
             _, [finer] = rank_cuts(df.filter(tied), order[1:], lambda n, take=take: [take])
             inside, tied = inside | (tied & finer.inside), tied & finer.tied

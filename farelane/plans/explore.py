@@ -7,8 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from farelane.functions.features import add_features
-from farelane.operators.quality import trim_above, valid_coords, valid_fare
+from farelane.operators.demand import (
+    HALF_HOUR,
+    HOUR,
+    demand_fare_corr,
+    demand_fare_table,
+    rolling_count,
+)
+from farelane.operators.quality import invalid_rate, trim_above, valid_coords, valid_fare, weekdays
 from farelane.operators.quantiles import exact_quantile
+from farelane.operators.stats import histogram, median_by, size_by
+from farelane.session import save_table
 
 PASSENGER_QUANTILE = 0.98
 DISTANCE_QUANTILE = 0.99
@@ -60,3 +69,34 @@ def explore_stages(trips: DataFrame) -> Stages:
 
 def explore_clean(trips: DataFrame) -> DataFrame:
     return explore_stages(trips).after_distance
+
+
+DEMAND_WIDTHS = {
+    "n_trips_up_to_30_min_before": HALF_HOUR,
+    "n_trips_up_to_1_h_before": HOUR,
+}
+
+
+def explore_report(trips: DataFrame) -> dict[str, DataFrame]:
+    """Every table of the exploration by name.
+
+    The cleaned trips are written to the shared folder once, so that the quantile passes
+    and the distance run once for all tables rather than once for each.
+    """
+    stages = explore_stages(trips)
+    explored = save_table(stages.after_distance, "explored")
+    report = {
+        "invalid_fare_rate": invalid_rate(stages.raw, valid_fare()),
+        "invalid_coord_rate": invalid_rate(stages.after_fare, valid_coords(stages.after_fare)),
+        "distance_histogram": histogram(stages.after_passengers, "hav_distance_km"),
+        "distance_histogram_trimmed": histogram(explored, "hav_distance_km"),
+        "median_fare_by_hour": median_by(weekdays(explored), "hour"),
+        "median_fare_by_dow": median_by(explored, "day_of_week"),
+        "median_fare_by_passengers": median_by(explored, "passenger_count"),
+        "trips_by_passengers": size_by(explored, "passenger_count"),
+    }
+    for name, width in DEMAND_WIDTHS.items():
+        counted = rolling_count(explored, width, name)
+        report[f"{name}_corr"] = demand_fare_corr(counted, name)
+        report[f"{name}_table"] = demand_fare_table(counted, name)
+    return report

@@ -37,7 +37,8 @@ def score_stream(
             batch.unpersist()
 
     writer = validate(requests).writeStream.foreachBatch(write)
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def read_scored(spark: SparkSession, root: str) -> DataFrame:

@@ -50,7 +50,7 @@ def test_integers_beyond_double_precision(spark):
     df = spark.createDataFrame([(v,) for v in values], "x long").repartition(3)
     count, stats = order_stats(df, "x", range)
     assert count == len(values)
-    assert [stats[r].value for r in range(count)] == sorted(values)
+    assert [stats[r].lo for r in range(count)] == sorted(values)
 
 
 def test_many_passes(spark, monkeypatch):
@@ -61,10 +61,13 @@ def test_many_passes(spark, monkeypatch):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     ordered = sorted(values)
     _, stats = order_stats(df, "x", lambda n: [0, 10, n // 2, n - 1])
-    assert {r: s.value for r, s in stats.items()} == {r: ordered[r] for r in stats}
-    for stat in stats.values():
-        assert stat.below == sum(v < stat.value for v in values)
-        assert stat.ties == values.count(stat.value)
+    assert {r: s.value_at(r) for r, s in stats.items()} == {r: ordered[r] for r in stats}
+    for cell in stats.values():
+        assert cell.lo == cell.hi
+        assert cell.below == sum(v < cell.lo for v in values)
+        assert cell.n == values.count(cell.lo)
+    for q in (0.1, 0.5, 0.999):
+        assert exact_quantile(df, "x", q) == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
 def test_equals_percentile(spark, sf_dir):
