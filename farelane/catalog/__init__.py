@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,5 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from farelane.catalog import demand, features, filters, models, requests, samples, scans, stats
-
-    assert demand and features and filters and models and requests and samples and scans and stats
+    for module in ("scans", "features", "filters", "stats", "demand", "samples", "models", "requests"):
+        import_module(f"{__name__}.{module}")

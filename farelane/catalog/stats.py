@@ -38,13 +38,13 @@ def invalid_coord_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     sql.with_trips(
-        """SELECT * FROM (
+        """SELECT name, CAST(q AS DOUBLE) AS q, quantile FROM (
           SELECT 'fare_amount' AS name, 0.5 AS q, round(quantile_cont(fare_amount, 0.5), 6) AS quantile FROM trips
           UNION ALL SELECT 'fare_amount', 0.98, round(quantile_cont(fare_amount, 0.98), 6) FROM trips
           UNION ALL SELECT 'passenger_count', 0.98, round(quantile_cont(passenger_count, 0.98), 6) FROM trips
           UNION ALL SELECT 'hav_distance_km', 0.99, round(quantile_cont(hav_distance_km, 0.99), 6) FROM cleaned)""",
         sql.CLEANED,
-    ).replace("0.5 AS q", "CAST(0.5 AS DOUBLE) AS q")
+    )
 )
 def quantile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = trips(spark, sf_dir)

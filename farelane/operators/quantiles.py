@@ -50,34 +50,39 @@ def order_stats(
     the value. NaN counts as null.
     """
     source = F.col(column) if isinstance(column, str) else column
-    values = df.select(source.alias("v"))
-    integral = isinstance(values.schema["v"].dataType, T.IntegralType)
+    kind = df.select(source.alias("v")).schema["v"].dataType
+    integral = isinstance(kind, T.IntegralType)
     # Nulls need no filter, which would evaluate a derived column once more: counts, bounds
     # and the sketch skip them.
     present = source.cast("long") if integral else F.nanvl(source.cast("double"), F.lit(None))
     values = df.select(present.alias("v"))
 
-    grid = [i / GRID for i in range(GRID + 1)]
-    count, cuts = values.agg(
-        F.count("v"), F.percentile_approx("v", grid, SKETCH_ACCURACY)
-    ).first()
+    count = 0
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        # Small codes and counts, most likely: one pass with a cell per value may do.
+        spans = [(-CELLS // 2, CELLS // 2 - 1)]
+    else:
+        grid = [i / GRID for i in range(GRID + 1)]
+        sketch = F.percentile_approx("v", grid, SKETCH_ACCURACY)
+        count, cuts = values.agg(F.count("v"), sketch).first()
+        spans = _merge(_bracket(cuts, r, count) for r in ranks_of(count) if 0 <= r < count)
+
     found: dict[int, Cell] = {}
-    pending = {r: _bracket(cuts, r, count) for r in set(ranks_of(count)) if 0 <= r < count}
-    while pending:
-        spans = _merge(pending.values())
-        cells = _count_cells(values, spans, integral)
-        ends = list(accumulate(c["n"] for c in cells))
-        still = {}
-        for rank in pending:
+    while spans:
+        rows = _count_cells(values, spans, integral)
+        ends = list(accumulate(row["n"] for row in rows))
+        count = ends[-1] if ends else 0
+        open_spans = []
+        for rank in {r for r in ranks_of(count) if 0 <= r < count} - found.keys():
             at = bisect.bisect_right(ends, rank)
-            row = cells[at]
+            row = rows[at]
             cell = Cell(row["lo"], row["hi"], ends[at] - row["n"], row["n"])
             at_bound = rank in (cell.below, ends[at] - 1)
             if cell.lo == cell.hi or (at_bound and not with_ties):
                 found[rank] = cell
             else:
-                still[rank] = (cell.lo, cell.hi)
-        pending = still
+                open_spans.append((cell.lo, cell.hi))
+        spans = _merge(open_spans)
     return count, found
 
 

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+_APP_DIRS: dict[str, str] = {}
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
@@ -26,20 +26,28 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = sc.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="farelane-")
-    return _LOCAL_DIRS[app]
+    return tempfile.mkdtemp(prefix="farelane-")
+
+
+def app_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it goes when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _APP_DIRS:
+        path = f"{shared_dir(spark)}/farelane-{app}-{uuid.uuid4().hex}"
+        fs, jpath = hadoop_path(spark, path)
+        fs.mkdirs(jpath)
+        fs.deleteOnExit(jpath)
+        _APP_DIRS[app] = path
+    return _APP_DIRS[app]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage at the shared folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
+        sc.setCheckpointDir(app_dir(spark))
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -49,11 +57,8 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; what is written there goes when the session ends."""
-    path = f"{shared_dir(spark)}/farelane-{name}-{uuid.uuid4().hex}"
-    fs, jpath = hadoop_path(spark, path)
-    fs.deleteOnExit(jpath)
-    return path
+    """A new path for a table of this application."""
+    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def save_table(df: DataFrame, name: str) -> DataFrame:

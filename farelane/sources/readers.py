@@ -94,14 +94,17 @@ def read_trip_rejects(spark: SparkSession, path: str) -> DataFrame:
     return text.filter(_is_bad_line(text))
 
 
-def dataset_profile(spark: SparkSession, path: str, fraction: float = 0.1) -> DataFrame:
+def dataset_profile(
+    spark: SparkSession, path: str, fraction: float = 0.1, fmt: str | None = None
+) -> DataFrame:
     """One row: bytes on disk, rows, and the row number of the leading ``fraction``."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
     )
     size = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    reader = spark.read.parquet(path) if file_format(path) == "parquet" else read_trips(spark, path)
-    return reader.agg(F.count(F.lit(1)).alias("total_rows")).select(
+    is_parquet = (fmt or file_format(path)) == "parquet"
+    rows = spark.read.parquet(path) if is_parquet else read_trips(spark, path, "csv")
+    return rows.agg(F.count(F.lit(1)).alias("total_rows")).select(
         size.scalar().alias("bytes"),
         "total_rows",
         F.floor(F.col("total_rows") * fraction).cast("long").alias("head_rows"),

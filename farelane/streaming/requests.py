@@ -39,25 +39,29 @@ def _error(name: str, valid: Column, in_range: Column) -> Column:
     )
 
 
-def _read_json(df: DataFrame) -> DataFrame:
-    """Add the field names and texts of the JSON object in ``value``, null if it is none.
+def _with_settled(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a column by generating it, one row for one, instead of projecting it. Later filters
+    then look at its values; through a projection they would repeat the work behind it."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
 
-    The last of equally named fields comes first and so is the one that counts. Both steps
-    generate rather than project, one row for one: a later filter on the errors then stays
-    above the parsing instead of repeating it for every field it looks at.
-    """
+
+def _read_json(df: DataFrame) -> DataFrame:
+    """Add the field names and texts of the JSON object in ``value``, null if it is none. The
+    last of equally named fields comes first and so is the one that counts."""
     # Read as the only element of an array, since the parser ignores text after a whole value.
     alone = F.from_json(
         F.concat(F.lit("["), "value", F.lit("]")),
         "array<map<string,string>>",
         {"allowSingleQuotes": "false"},
     )
-    read = df.select("*", F.explode(F.array(alone)).alias("read_"))
     fields = F.when(F.size("read_") == 1, F.get("read_", F.lit(0)))
-    reversed_fields = F.struct(
-        F.reverse(F.map_keys(fields)).alias("names_"), F.reverse(F.map_values(fields)).alias("texts_")
-    )
-    return read.select("*", F.inline(F.array(reversed_fields))).drop("read_")
+    read = _with_settled(df, "read_", alone).withColumn("fields_", fields)
+    return read.withColumns(
+        {
+            "names_": F.reverse(F.map_keys("fields_")),
+            "texts_": F.reverse(F.map_values("fields_")),
+        }
+    ).drop("read_", "fields_")
 
 
 def validate(df: DataFrame) -> DataFrame:
@@ -76,13 +80,13 @@ def validate(df: DataFrame) -> DataFrame:
     ]
     checks.append(_error("pickup_datetime", F.col("pickup_datetime").isNotNull(), F.lit(True)))
     known = F.array(*[F.lit(name) for name in TRIP_REQUEST.fieldNames()])
-    unknown = F.transform(
-        F.array_sort(F.array_except("names_", known)), lambda name: F.concat(name, F.lit(":unknown"))
-    )
+    extra = F.array_sort(F.array_except("names_", known))
+    unknown = F.transform(extra, lambda name: F.concat(name, F.lit(":unknown")))
+    found = F.array_except(F.array(*checks), F.array(F.lit(None)))
     errors = F.when(F.isnull("names_"), F.array(F.lit("request:invalid"))).otherwise(
-        F.concat(F.array_compact(F.array(*checks)), unknown)
+        F.concat(found, unknown)
     )
-    return parsed.withColumn("errors", errors).drop("names_", "texts_")
+    return _with_settled(parsed, "errors", errors).drop("names_", "texts_")
 
 
 def load_valid(validated: DataFrame) -> DataFrame:

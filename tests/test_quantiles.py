@@ -53,6 +53,17 @@ def test_integers_beyond_double_precision(spark):
     assert [stats[r].lo for r in range(count)] == sorted(values)
 
 
+@pytest.mark.parametrize("values", [[3, 1, 2, 2, 2, None], [-(2**31), 5, 6, 2**31 - 1], [None], []])
+def test_small_integers(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x int").repartition(2)
+    count, cells = order_stats(df, "x", range)
+    ordered = sorted(v for v in values if v is not None)
+    assert count == len(ordered)
+    assert [cells[r].lo for r in range(count)] == ordered
+    expected = float(np.quantile(ordered, 0.9)) if ordered else None
+    assert exact_quantile(df, "x", 0.9) == pytest.approx(expected)
+
+
 def test_many_passes(spark, monkeypatch):
     """Few cells and a coarse sketch only mean more passes, not other results."""
     monkeypatch.setattr(quantiles, "CELLS", 4)
