@@ -1,9 +1,9 @@
 """Exact order statistics without a sort.
 
 A quantile sketch brackets the wanted ranks; then counting passes narrow each bracket,
-``CELLS`` at a time, down to a single value. A pass is one map-side-combined aggregate over
-one column that returns at most ``CELLS`` rows per rank, whatever the size or skew of the
-data: nothing is sorted, shuffled by value or gathered in one task.
+``CELLS`` at a time, down to a single value; a bracket of few rows is listed by value at
+once. A pass is one map-side-combined aggregate over one column that returns some thousand
+rows per rank, whatever the size or skew of the data: nothing is sorted or gathered.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 GRID = 100
 CELLS = 4096
+FEW = 2 * CELLS
 # Half a grid step. The sketches of all tasks meet in one, so they are kept small.
 SKETCH_ACCURACY = 200
 
@@ -42,12 +43,14 @@ def order_stats(
     column: Column | str,
     ranks_of: Callable[[int], Iterable[int]],
     with_ties: bool = True,
+    span: tuple[int, int] | None = None,
 ) -> tuple[int, dict[int, Cell]]:
     """The non-null count of a numeric column and, for the 0-based ranks that ``ranks_of``
     names for that count, the cell holding just the values equal to the one at the rank.
 
     Without ``with_ties`` a cell that begins or ends at the rank will do, since its bound is
-    the value. NaN counts as null.
+    the value. ``span`` is where the values are expected, evenly spread; it saves the sketch
+    and does not affect the result. NaN counts as null.
     """
     source = F.col(column) if isinstance(column, str) else column
     kind = df.select(source.alias("v")).schema["v"].dataType
@@ -57,10 +60,11 @@ def order_stats(
     present = source.cast("long") if integral else F.nanvl(source.cast("double"), F.lit(None))
     values = df.select(present.alias("v"))
 
-    count = 0
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+    if span is None and isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
         # Small codes and counts, most likely: one pass with a cell per value may do.
-        spans = [(-CELLS // 2, CELLS // 2 - 1)]
+        span = (-CELLS // 2, CELLS // 2 - 1)
+    if span is not None:
+        count, spans = 0, [(*span, math.inf)]
     else:
         grid = [i / GRID for i in range(GRID + 1)]
         sketch = F.percentile_approx("v", grid, SKETCH_ACCURACY)
@@ -81,45 +85,55 @@ def order_stats(
             if cell.lo == cell.hi or (at_bound and not with_ties):
                 found[rank] = cell
             else:
-                open_spans.append((cell.lo, cell.hi))
+                open_spans.append((cell.lo, cell.hi, cell.n))
         spans = _merge(open_spans)
     return count, found
 
 
 def _bracket(cuts: list, rank: int, count: int) -> tuple:
     at = rank / max(count - 1, 1) * GRID
-    return cuts[max(math.floor(at) - 1, 0)], cuts[min(math.ceil(at) + 1, GRID)]
+    first, last = max(math.floor(at) - 1, 0), min(math.ceil(at) + 1, GRID)
+    return cuts[first], cuts[last], count * (last - first) / GRID
 
 
 def _merge(spans: Iterable[tuple]) -> list[tuple]:
+    """Spans with overlapping ones joined; the number of rows in a joined span adds up."""
     merged: list[tuple] = []
-    for lo, hi in sorted(spans):
+    for lo, hi, n in sorted(set(spans)):
         if merged and lo <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+            before = merged[-1]
+            merged[-1] = (before[0], max(hi, before[1]), before[2] + n)
         else:
-            merged.append((lo, hi))
+            merged.append((lo, hi, n))
     return merged
 
 
 def _count_cells(values: DataFrame, spans: list[tuple], integral: bool) -> list:
-    """Row counts and exact bounds of consecutive cells: ``CELLS`` per span, one per gap.
+    """Row counts and exact bounds of consecutive cells: one per value in a span of few rows,
+    ``CELLS`` in any other, and one per gap.
 
     A cell number never falls as the value rises, which is all the ranks need; how evenly
     the cells are cut only decides how soon a span shrinks.
     """
     v = F.col("v")
-    cell = None
-    for i, (lo, hi) in enumerate(spans):
+    cell = listed = None
+    for i, (lo, hi, n) in enumerate(spans):
         base = i * (CELLS + 1)
         low, high = (F.lit(x).cast("long" if integral else "double") for x in (lo, hi))
-        at = F.lit(0) if lo == hi else _position(v, lo, hi, integral)
+        single = lo == hi or n <= FEW
+        at = F.lit(0) if single else _position(v, lo, hi, integral)
         cell = F.when(v < low, base) if cell is None else cell.when(v < low, base)
         cell = cell.when(v <= high, at + (base + 1))
+        if single:
+            inside = v.between(low, high)
+            listed = F.when(inside, v) if listed is None else listed.when(inside, v)
     cell = cell.otherwise(len(spans) * (CELLS + 1))
-    counts = values.groupBy(cell.alias("cell")).agg(
+    keys = [cell.alias("cell")] + ([] if listed is None else [listed.alias("listed")])
+    counts = values.groupBy(*keys).agg(
         F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    return sorted(counts.collect(), key=lambda c: c["cell"])
+    present = counts.filter(F.col("n") > 0).collect()
+    return sorted(present, key=lambda row: (row["cell"], row["lo"]))
 
 
 def _position(v: Column, lo, hi, integral: bool) -> Column:
@@ -161,12 +175,16 @@ class RankCut:
 
 
 def rank_cuts(
-    df: DataFrame, order: list[Column], sizes: Callable[[int], list[int]]
+    df: DataFrame,
+    order: list[Column],
+    sizes: Callable[[int], list[int]],
+    span: tuple[int, int] | None = None,
 ) -> tuple[int, list[RankCut]]:
     """The row count and, for each n in ``sizes(count)``, the cut after n rows in the order
     of the given non-null numeric columns. Later columns are read only to part rows that are
-    level in the earlier ones at a cut."""
-    count, cells = order_stats(df, order[0], lambda n: [s - 1 for s in sizes(n)])
+    level in the earlier ones at a cut. ``span`` is that of the first column, as in
+    ``order_stats``."""
+    count, cells = order_stats(df, order[0], lambda n: [s - 1 for s in sizes(n)], span=span)
     cuts = []
     for size in sizes(count):
         if size <= 0 or size >= count:

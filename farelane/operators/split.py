@@ -11,14 +11,15 @@ from farelane.operators.quantiles import rank_cuts
 
 SEED = 1234
 HELD_OUT = 0.25
+HASH_DIGITS = 15
 SPLIT_NAMES = ("training", "validation", "test")
 TRAIN_FOLD, VALIDATION_FOLD = -1, 0
 
 
 def shuffle_rank(seed: int) -> Column:
-    """A row's place in the shuffled order: 60 bits of the hash of seed and key."""
+    """A row's place in the shuffled order: the leading bits of the hash of seed and key."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("key").cast("string")))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long")
 
 
 def split_sizes(count: int) -> tuple[int, int]:
@@ -40,7 +41,8 @@ def split_trips(df: DataFrame, seed: int = SEED) -> DataFrame:
         test, validation = split_sizes(count)
         return [test, test + validation]
 
-    _, [test, validation] = rank_cuts(df, [rank, F.col("key")], ends)
+    whole = (0, 16**HASH_DIGITS - 1)
+    _, [test, validation] = rank_cuts(df, [rank, F.col("key")], ends, whole)
     name = (
         F.when(test.inside | test.tied, "test")
         .when(validation.inside | validation.tied, "validation")

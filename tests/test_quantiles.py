@@ -64,8 +64,10 @@ def test_small_integers(spark, values):
     assert exact_quantile(df, "x", 0.9) == pytest.approx(expected)
 
 
-def test_many_passes(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 50])
+def test_many_passes(spark, monkeypatch, few):
     """Few cells and a coarse sketch only mean more passes, not other results."""
+    monkeypatch.setattr(quantiles, "FEW", few)
     monkeypatch.setattr(quantiles, "CELLS", 4)
     monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 2)
     values = TABLES["hot_value"]
