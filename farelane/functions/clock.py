@@ -1,4 +1,4 @@
-"""Time expressions. The session time zone is UTC (see ``session.ensure_utc``)."""
+"""Time expressions. The session time zone is UTC (see ``session.prepare``)."""
 
 from __future__ import annotations
 

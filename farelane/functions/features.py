@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from farelane.functions.clock import day_of_week, hour_of_day
 from farelane.functions.geo import haversine_km
 from farelane.schema import FEATURES, typed_column
-from farelane.session import ensure_utc
+from farelane.session import prepare
 
 
 def with_pickup_ts(df: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def with_distance(df: DataFrame) -> DataFrame:
 
 
 def with_time_features(df: DataFrame) -> DataFrame:
-    ensure_utc(df.sparkSession)
+    prepare(df.sparkSession)
     pickup = F.col("pickup_datetime")
     return with_pickup_ts(df).withColumns(
         {"day_of_week": day_of_week(pickup), "hour": hour_of_day(pickup)}

@@ -10,10 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 _APP_DIRS: dict[str, str] = {}
 
 
-def ensure_utc(spark: SparkSession) -> SparkSession:
-    """Fix the session time zone to UTC, the one rule for weekday and hour everywhere."""
+# Fixed value: the size in bytes up to which the JVM compiles a method.
+COMPILED_METHOD_LIMIT = 8000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what the results and the speed rely on, and return the session.
+
+    The time zone is UTC, the one rule for weekday and hour everywhere. Whole-stage code
+    beyond the JVM's limit would only be interpreted; rules over many columns can reach it,
+    and run several times faster as the smaller methods Spark then generates instead.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(limit, "65535")) > COMPILED_METHOD_LIMIT:
+        spark.conf.set(limit, COMPILED_METHOD_LIMIT)
     return spark
 
 

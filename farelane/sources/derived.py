@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.schema import cast_trips
-from farelane.session import ensure_utc
+from farelane.session import prepare
 
 _DETOUR = """(ABS((event_id*7919)%1000 - (event_id*6101)%1000)
               + ABS((event_id*5381)%1000 - (event_id*4877)%1000))"""
@@ -70,14 +70,11 @@ def select_sql(columns: dict[str, str]) -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ensure_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _derive(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
-    # Generated, one row per event, rather than projected: filters then look at the derived
-    # values, as they would at stored ones, and not at copies of the expressions.
-    row = F.struct(*[F.expr(sql).alias(name) for name, sql in columns.items()])
-    return events(spark, sf_dir).select(F.inline(F.array(row)))
+    return events(spark, sf_dir).select(*[F.expr(sql).alias(n) for n, sql in columns.items()])
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from farelane.operators.quality import is_valid_trip
 from farelane.schema import TRIPS, cast_trips, nan_to_null, typed_column
-from farelane.session import ensure_utc
+from farelane.session import prepare
 
 CORRUPT = "_corrupt_record"
 
@@ -54,7 +54,7 @@ def _is_bad_line(text: DataFrame) -> Column:
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
     """Scoring input, format by suffix: known columns typed, all rows and columns kept."""
-    ensure_utc(spark)
+    prepare(spark)
     if file_format(path) == "parquet":
         return nan_to_null(cast_trips(spark.read.parquet(path)))
     return nan_to_null(cast_trips(_csv_text(spark, path).drop(CORRUPT)))
@@ -69,7 +69,7 @@ def read_trips(
     reach the Parquet scan as pushed filters. CSV lines that do not parse are left to
     ``read_trip_rejects``. A file without a ``key`` gets one hashed from its columns.
     """
-    ensure_utc(spark)
+    prepare(spark)
     if (fmt or file_format(path)) == "parquet":
         raw = spark.read.parquet(path)
     else:
@@ -89,7 +89,7 @@ def read_trips(
 
 def read_trip_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The CSV lines ``read_trips`` leaves out, as text columns."""
-    ensure_utc(spark)
+    prepare(spark)
     text = _csv_text(spark, path)
     return text.filter(_is_bad_line(text))
 
@@ -113,6 +113,6 @@ def dataset_profile(
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """A stream of request texts, one JSON object per line, in column ``value``."""
-    ensure_utc(spark)
+    prepare(spark)
     return spark.readStream.format("text").load(path)
 

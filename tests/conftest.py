@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from farelane.session import ensure_utc  # noqa: E402
+from farelane.session import prepare  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,7 +24,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield ensure_utc(session)
+    yield prepare(session)
     session.stop()
 
 
