@@ -14,7 +14,8 @@ HALF_HOUR_NAME, HOUR_NAME = DEMAND_WIDTHS
 
 
 def _counted(spark: SparkSession, sf_dir: str, width_us: int, name: str) -> DataFrame:
-    return demand.rolling_count(explore_clean(trips(spark, sf_dir)), width_us, name)
+    explored = explore_clean(trips(spark, sf_dir)).select("key", "pickup_datetime", "fare_amount")
+    return demand.rolling_count(explored, width_us, name)
 
 
 def _rows_sql(width_us: int, name: str) -> str:

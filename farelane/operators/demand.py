@@ -22,6 +22,7 @@ def rolling_count(
     a trip arrives in its own bucket (+1) and departs ``width`` later, in the next (-1). At
     the start of a bucket exactly the trips departing in it are present. One shuffle brings
     each bucket together, and the running sum is linear in its rows, unlike a sliding frame.
+    All columns of ``df`` take part in it, so select those that are needed before.
     """
     us = F.unix_micros("pickup_datetime")
     counted = F.col(value).isNotNull()

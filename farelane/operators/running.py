@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farelane.session import save_table
 
-HOT_ROWS = 2_000_000
+HOT_ROWS = 10_000_000
 MAX_HOT_GROUPS = 10_000
 
 
@@ -27,15 +27,20 @@ def running_total(
     ranges of their order instead, so that no task holds more than a slice of one.
     """
     df = df.withColumns({"value_": value, "overall_": overall})
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("rows_"))
-    rows, largest = sizes.agg(F.sum("rows_"), F.max("rows_")).first()
-    # At most MAX_HOT_GROUPS groups exceed the limit, so their keys may be broadcast, and
-    # twice that many slices cover them.
-    limit = max(hot_rows, (rows or 0) // MAX_HOT_GROUPS)
-    if (largest or 0) <= limit:
-        return _window_totals(df, group, order).drop("value_", "overall_")
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("rows_")).persist()
+    try:
+        rows, largest = sizes.agg(F.sum("rows_"), F.max("rows_")).first()
+        # At most MAX_HOT_GROUPS groups exceed the limit, so their keys may be collected and
+        # broadcast, and twice that many slices cover them.
+        limit = max(hot_rows, (rows or 0) // MAX_HOT_GROUPS)
+        if (largest or 0) <= limit:
+            return _window_totals(df, group, order).drop("value_", "overall_")
+        hot_sizes = sizes.filter(F.col("rows_") > limit).select(*group)
+        hot_keys = df.sparkSession.createDataFrame(hot_sizes.collect(), hot_sizes.schema)
+    finally:
+        sizes.unpersist()
 
-    hot_keys = F.broadcast(sizes.filter(F.col("rows_") > limit).select(*group))
+    hot_keys = F.broadcast(hot_keys)
     cold = _window_totals(df.join(hot_keys, group, "left_anti"), group, order)
     hot = _sliced_totals(df.join(hot_keys, group, "left_semi"), group, order, 2 * rows // limit + 2)
     return cold.unionByName(hot).drop("value_", "overall_")

@@ -17,6 +17,7 @@ from farelane.operators.demand import (
 from farelane.operators.quality import invalid_rate, trim_above, valid_coords, valid_fare, weekdays
 from farelane.operators.quantiles import exact_quantile
 from farelane.operators.stats import histogram, median_by, size_by
+from farelane.schema import COORDINATES, LABEL
 from farelane.session import save_table
 
 PASSENGER_QUANTILE = 0.98
@@ -84,7 +85,7 @@ def explore_report(trips: DataFrame) -> dict[str, DataFrame]:
     and the distance run once for all tables rather than once for each.
     """
     stages = explore_stages(trips)
-    explored = save_table(stages.after_distance, "explored")
+    explored = save_table(stages.after_distance.drop(*COORDINATES), "explored")
     report = {
         "invalid_fare_rate": invalid_rate(stages.raw, valid_fare()),
         "invalid_coord_rate": invalid_rate(stages.after_fare, valid_coords(stages.after_fare)),
@@ -95,8 +96,9 @@ def explore_report(trips: DataFrame) -> dict[str, DataFrame]:
         "median_fare_by_passengers": median_by(explored, "passenger_count"),
         "trips_by_passengers": size_by(explored, "passenger_count"),
     }
+    timed = explored.select("key", "pickup_datetime", LABEL)
     for name, width in DEMAND_WIDTHS.items():
-        counted = rolling_count(explored, width, name)
+        counted = rolling_count(timed, width, name)
         report[f"{name}_corr"] = demand_fare_corr(counted, name)
         report[f"{name}_table"] = demand_fare_table(counted, name)
     return report

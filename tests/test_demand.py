@@ -49,7 +49,7 @@ def test_before_the_epoch_and_without_time(spark):
     assert _counts(_trips(spark, rows)) == {0: 1, 1: 2}
 
 
-@pytest.mark.parametrize("hot_rows", [2_000_000, 40, 5])
+@pytest.mark.parametrize("hot_rows", [10_000_000, 40, 5])
 def test_crowded_instant_and_bucket(spark, hot_rows):
     """A third of the trips at one instant, a third in one half hour, the rest spread; whether
     or not their buckets count as hot."""

@@ -82,6 +82,16 @@ def test_weekday_and_hour(spark):
     assert got == [(6, 23), (0, 0), (None, None)]
 
 
+def test_hour_is_utc_whatever_the_session(spark):
+    rows = spark.sql("SELECT timestamp_micros(1704585600000000) AS pickup_datetime, 1D AS pickup_longitude, "
+                     "1D AS pickup_latitude, 1D AS dropoff_longitude, 1D AS dropoff_latitude")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert add_features(rows).first()["hour"] == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_matching_cols(spark):
     df = spark.createDataFrame([], "pickup_longitude double, pickup_latitude double, flat_fee int")
     assert matching_cols(df, "lon") == ["pickup_longitude"]
