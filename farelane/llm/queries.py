@@ -16,7 +16,9 @@ from farelane.llm.op04_packing import pack
 from farelane.llm.keys import KEY
 from farelane.llm.op05_decontamination import find_leaks
 from farelane.llm.op06_toxicity import score_toxicity
+from farelane.llm.op07_jaccard_join import join_components
 from farelane.llm.op08_neighbours import find_nearest
+from farelane.llm.op09_suffix_dedup import repeat_digests
 from farelane.llm.op10_token_files import token_files
 from farelane.llm.ship import ship
 
@@ -74,11 +76,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
