@@ -27,7 +27,7 @@ def count_tokens(
 
     def count(batches):
         for batch in slices(batches):
-            n_tokens = Pieces(batch.column("text"), tokenizer).counts()
+            n_tokens = Pieces(batch.column("text"), tokenizer, with_ids=False).counts()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

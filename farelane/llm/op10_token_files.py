@@ -16,7 +16,7 @@ from farelane.llm.tokens import Pieces, load
 from farelane.session import fresh_path, hadoop_path
 
 #: Ids in a sequence, sequences in a record batch, and ids after which a file ends with its document.
-WIDTH, BATCH_ROWS, FILE_IDS = 1024, 1024, 1 << 22
+WIDTH, BATCH_ROWS, FILE_IDS = 1024, 1024, 1 << 21
 
 
 def sequence_schema(width: int) -> pa.Schema:
@@ -115,7 +115,7 @@ def write_token_files(
                 {"name": [name], "part": [part], "number": [number], "n_ids": [len(ids)]}
             )
 
-        for batch in slices(batches, limit=FILE_IDS):
+        for batch in slices(batches):
             ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
             held.append((batch.column("doc_id"), starts, ids.astype(np.uint16)))
             size += len(ids)

@@ -22,12 +22,13 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
         if batch.num_rows == 0:
             continue
         at = batch.schema.get_field_index(column)
-        text = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
-        batch = batch.set_column(at, column, text)
-        place = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False)) // limit
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        place = np.cumsum(sizes, dtype=np.int64) // limit
         cuts = np.flatnonzero(np.diff(place)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
-            yield batch.slice(lo, hi - lo)
+            part = batch.slice(lo, hi - lo)
+            text = pc.fill_null(part.column(at).cast(pa.large_string()), "")
+            yield part.set_column(at, column, text)
 
 
 def words_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -9,6 +9,7 @@ Both hold only for a tokenizer that lowers its input and parts letters from punc
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -45,11 +46,40 @@ def lowers(path: str) -> bool:
     return all(same(*x) for x in (("Ab", "ab"), ("ab.", "ab", "."), ("É,", "é", ","), ("a b", "a", "b")))
 
 
+# Lower-case Latin letters: such a word is one pre-token and its own normal form.
+_LETTERS = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
+
+
+@lru_cache(maxsize=1)
+def byte_characters() -> dict[int, int]:
+    """The character that byte-level models have for each byte: itself where it can be printed,
+    the others in order from 256 on."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printed]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+def word_ids(tokenizer: Tokenizer, word: str) -> list[int]:
+    """The ids of a word of letters by the model alone, without the steps before it."""
+    if not word.isascii():
+        word = word.encode().decode("latin-1").translate(byte_characters())
+    return [x.id for x in tokenizer.model.tokenize(word)]
+
+
+@lru_cache(maxsize=4)
+def models_letters(path: str) -> bool:
+    """Whether the model alone gives a word of letters the ids that the whole tokenizer does."""
+    tokenizer = load(path)
+    words = ["a", "the", "straße", "élève", "ñandú", "øæåþðÿ", "questions", "zqxjkvbpygfwm", "ab" * 40]
+    return all(word_ids(tokenizer, w) == tokenizer.encode(w, add_special_tokens=False).ids for w in words)
+
+
 class Pieces:
     """The distinct words of a slice: ``rows`` and ``index`` place them, ``stem`` and ``tail``
-    say what each is made of, a distinct text and the id of a mark after it or -1."""
+    say what each is made of, a distinct text and the id of a mark after it or -1. ``sizes`` has the
+    number of ids of each distinct text and ``flat`` the ids, unless they are not wanted."""
 
-    def __init__(self, text: pa.Array, path: str) -> None:
+    def __init__(self, text: pa.Array, path: str, with_ids: bool = True) -> None:
         self.rows, self.index, words = words_of(text)
         self.n_rows = len(text)
         tokenizer = load(path)
@@ -67,41 +97,58 @@ class Pieces:
             words = pc.if_else(plain, pc.ascii_lower(words), words)
         coded = words.dictionary_encode()
         self.stem = coded.indices.to_numpy(zero_copy_only=False)
-        self.encoded = tokenizer.encode_batch_fast(
-            coded.dictionary.to_pylist(), add_special_tokens=False
-        )
+        stems = coded.dictionary.to_pylist()
+        direct = np.zeros(len(stems), dtype=bool)
+        if models_letters(path) and stems:
+            direct = pc.match_substring_regex(coded.dictionary, _LETTERS).to_numpy(zero_copy_only=False)
+        others = [x for x, known in zip(stems, direct) if not known]
+        rest = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        model, table = tokenizer.model, byte_characters()
+        self.sizes, self.flat = np.empty(len(stems), dtype=np.int64), array("I")
+        for i, (stem, known) in enumerate(zip(stems, direct.tolist())):
+            if known:
+                if not stem.isascii():
+                    stem = stem.encode().decode("latin-1").translate(table)
+                found = model.tokenize(stem)
+                if with_ids:
+                    self.flat.extend([x.id for x in found])
+            else:
+                found = next(rest)
+                if with_ids:
+                    self.flat.extend(found.ids)
+            self.sizes[i] = len(found)
 
     def counts(self) -> np.ndarray:
         """Tokens of each row: the count of each distinct word, summed over the row's words."""
-        sizes = np.fromiter(map(len, self.encoded), dtype=np.int64, count=len(self.encoded))
-        of_word = sizes[self.stem] + (self.tail >= 0) if len(self.stem) else np.zeros(0, np.int64)
+        of_word = self.sizes[self.stem] + (self.tail >= 0) if len(self.stem) else np.zeros(0, np.int64)
         weights = of_word[self.index] if len(self.index) else np.zeros(0, np.int64)
         return np.bincount(self.rows, weights=weights, minlength=self.n_rows).astype(np.int64)
 
     def ids(self, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows one after the other, each with ``end`` after it, and where rows start."""
-        lists = [x.ids for x in self.encoded]
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter((i for x in lists for i in x), dtype=np.uint32, count=int(sizes.sum()))
-        # Pieces in the order of the texts: a word's stem, its mark, and at last the row's end.
+        sizes, flat = self.sizes, np.frombuffer(self.flat, dtype=np.uint32)
+        n_stems = len(sizes)
+        # The parts that words are made of: stems, then marks, then the row's end.
         marks = np.unique(self.tail[self.tail >= 0])
-        extra = [*marks.tolist(), *([end] if end is not None else [])]
-        flat = np.concatenate([flat, np.array(extra, dtype=np.uint32)])
-        sizes = np.concatenate([sizes, np.ones(len(extra), dtype=np.int64)])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, int)
-        stem, tail = self.stem[self.index], self.tail[self.index]
+        ends = [end] if end is not None else []
+        flat = np.concatenate([flat, np.array([*marks.tolist(), *ends], dtype=np.uint32)])
+        sizes = np.concatenate([sizes, np.ones(len(marks) + len(ends), dtype=np.int64)])
+        starts = np.cumsum(sizes) - sizes
+        tail = self.tail[self.index] if len(self.index) else np.zeros(0, np.int64)
         marked = np.flatnonzero(tail >= 0)
-        part = np.concatenate([stem, len(lists) + np.searchsorted(marks, tail[marked])])
-        place = np.concatenate([np.arange(len(stem)) * 2, marked * 2 + 1])
-        row = np.concatenate([self.rows, self.rows[marked]])
-        if end is not None:
-            part = np.concatenate([part, np.full(self.n_rows, len(sizes) - 1)])
-            place = np.concatenate([place, np.full(self.n_rows, 2 * len(stem))])
-            row = np.concatenate([row, np.arange(self.n_rows)])
-        order = np.lexsort((place, row))
-        part, row = part[order].astype(np.int64), row[order]
+        # Where each word's stem stands among all parts; its mark is next, a row's end after its last.
+        n_parts = 1 + (tail >= 0)
+        until = np.concatenate([[0], np.cumsum(n_parts)])
+        place = until[:-1] + len(ends) * self.rows
+        words_until = np.searchsorted(self.rows, np.arange(self.n_rows + 1))
+        parts_until = until[words_until] + len(ends) * np.arange(self.n_rows + 1)
+        part = np.empty(int(parts_until[-1]), dtype=np.int64)
+        if len(place):
+            part[place] = self.stem[self.index]
+            part[place[marked] + 1] = n_stems + np.searchsorted(marks, tail[marked])
+        if ends:
+            part[parts_until[1:] - 1] = len(sizes) - 1
         lengths = sizes[part]
-        before = np.cumsum(lengths) - lengths
-        out = flat[np.repeat(starts[part] - before, lengths) + np.arange(int(lengths.sum()))]
-        of_row = np.bincount(row, weights=lengths, minlength=self.n_rows).astype(np.int64)
-        return out, np.concatenate([[0], np.cumsum(of_row)])
+        after = np.cumsum(lengths)
+        out = flat[np.repeat(starts[part] - (after - lengths), lengths) + np.arange(int(lengths.sum()))]
+        return out, np.concatenate([[0], after])[parts_until]
