@@ -27,7 +27,9 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
         cuts = np.flatnonzero(np.diff(place)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
             part = batch.slice(lo, hi - lo)
-            text = pc.fill_null(part.column(at).cast(pa.large_string()), "")
+            # A copy, since Arrow's lower-casing takes the buffer of a cut array from its beginning.
+            text = part.column(at).cast(pa.large_string()).take(pa.array(np.arange(hi - lo)))
+            text = pc.fill_null(text, "")
             yield part.set_column(at, column, text)
 
 
