@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.components import components
-from farelane.llm.keys import KEY, broadcast_if_small, row_key
+from farelane.llm.keys import BROADCAST_ROWS, KEY, broadcast_if_small, row_key
 from farelane.llm.texts import hashes, joined, slices, words_of
 from farelane.session import save_table
 
@@ -153,8 +153,7 @@ def light_limit(unique: DataFrame, percent: int) -> int:
     """The size from which on sets are heavy: where the subsets of all sets of a size are more than
     the postings and scanned pairs of their inverted lists. At most ``SMALL`` rows are collected."""
     small = unique.filter(F.col("n").between(1, SMALL))
-    first = F.slice("firsts", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
-    lists = small.select("n", F.explode(first).alias("token")).groupBy("token", "n").agg(F.count(F.lit(1)).alias("c"))
+    lists = small.select("n", F.explode(_first(percent)).alias("token")).groupBy("token", "n").agg(F.count(F.lit(1)).alias("c"))
     sized = lists.groupBy("token").agg(F.collect_list(F.struct("n", "c")).alias("all"))  # SMALL rows at most
     near = lambda x, y: (y["n"] * 100 >= x["n"] * percent) & (x["n"] * 100 >= y["n"] * percent)
     scanned = sized.select(F.explode("all").alias("x"), "all").select(
@@ -215,6 +214,13 @@ def light_edges(unique: DataFrame, limit: int, percent: int) -> DataFrame:
     return listed.join(stars, key).filter("node <> v").select(F.col("node").alias("u"), "v")
 
 
+def _can_link(most: str, x: str, y: str, percent: int) -> Column:
+    """Whether sets of these sizes can link with at most ``most`` shingles of each in common."""
+    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
+    enough = F.least(F.col(f"{x}.{most}"), F.col(f"{y}.{most}")) * (100 + percent) >= (a + b) * percent
+    return enough & (a * 100 >= b * percent) & (b * 100 >= a * percent)
+
+
 def _bound(x: str, y: str, percent: int) -> Column:
     """Whether two sets can link, from their sizes and first shingles: those after the last common one
     can all be common, those before can't but for the ones that are."""
@@ -225,11 +231,6 @@ def _bound(x: str, y: str, percent: int) -> Column:
     return (F.size(common) > 0) & (most * (100 + percent) >= (F.col(f"{x}.n") + F.col(f"{y}.n")) * percent)
 
 
-def _sizes_near(x: str, y: str, percent: int) -> Column:
-    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (a * 100 >= b * percent) & (b * 100 >= a * percent)
-
-
 def verified(pairs: DataFrame, unique: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (``u``, ``v``) of sets that link, by their whole sets, which are made anew from the
     texts of the documents that stand for them."""
@@ -254,49 +255,64 @@ def verified(pairs: DataFrame, unique: DataFrame, docs: DataFrame, width: int, p
     return met.withColumn("common", common).filter(F.col("common") * 100 >= either * percent).select("u", "v")
 
 
+def _first(percent: int) -> Column:
+    return F.slice("firsts", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+
+
+def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``u``, ``v``) that can link by the first shingles of both."""
+    met = pairs.join(sets.toDF("u", "x"), "u").join(sets.toDF("v", "y"), "v")
+    return save_table(met.filter(_bound("x", "y", percent)).select("u", "v"), "pairs")
+
+
 def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int, width: int, percent: int) -> DataFrame:
     """Edges that connect all linked sets of which one has ``limit`` shingles or more.
 
-    Inverted lists hold the first shingles of each set. Every list has a pivot, its smallest node;
-    members are compared with it first, which connects a group of near copies without a pair of each
-    two. Then only members that are not connected yet are compared: those outside the pivot's
-    component with all members of other components. What is left out is connected already.
+    Inverted lists hold the first shingles of each set. Lists of one member go; what a set can then
+    have in common with any other is the number of its lists left and its shingles beyond the first.
+    Every list has a pivot, its smallest node. Members are compared with it first, which connects a
+    group of near copies without a pair of each two. Then only members that are not connected yet
+    are compared: those outside the pivot's component with all members of other components. What is
+    left out is connected already.
     """
     least = -(-percent * limit // 100)
-    kept = unique.filter(F.col("n") >= least)
-    first = F.slice("firsts", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
-    kept = kept.select("node", "n", first.alias("firsts"))
-    postings = kept.select("node", "n", F.explode("firsts").alias("token"))
+    kept = unique.filter(F.col("n") >= least).select("node", "n", _first(percent).alias("firsts"))
+    postings = kept.select("node", F.explode("firsts").alias("token"))
     pivots = postings.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("c"))
-    # Lists of one member have no pair; they are nearly all lists.
-    lists = save_table(postings.join(pivots.filter("c > 1").drop("c"), "token"), "lists")
-    pairs = lists.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    lists = save_table(postings.join(pivots.filter("c > 1"), "token"), "lists")
+    met = lists.groupBy("node").agg(F.count(F.lit(1)).alias("met"))
+    sizes = kept.select("node", "n", (F.col("n") - F.size("firsts")).alias("beyond")).join(met, "node")
+    sizes = save_table(
+        sizes.select("node", F.struct("n", (F.col("met") + F.col("beyond")).alias("most")).alias("size")), "sizes"
+    )
     sets = kept.select("node", F.struct("n", "firsts").alias("set"))
-    pairs = pairs.join(sets.toDF("u", "x"), "u").join(sets.toDF("v", "y"), "v")
+
+    pairs = lists.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    pairs = pairs.join(sizes.toDF("u", "x"), "u").join(sizes.toDF("v", "y"), "v")
     heavy = F.greatest("x.n", "y.n") >= limit
-    pairs = save_table(pairs.filter(heavy & _sizes_near("x", "y", percent) & _bound("x", "y", percent)).select("u", "v"), "pairs")
-    edges = save_table(verified(pairs, unique, docs, width, percent), "links")
+    pairs = pairs.filter(heavy & _can_link("most", "x", "y", percent)).select("u", "v")
+    edges = save_table(verified(_bounded(pairs, sets, percent), unique, docs, width, percent), "links")
 
     found = save_table(components(edges.unionByName(light)), "components")
-    named = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = named.join(found.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    members = named.join(kept.drop("n"), "node").select(
-        "token", F.struct("node", "n", "firsts", "component", "main", "pivot").alias("x")
+    # Members that are not their list's pivot: of lists with two or more, and not all of one component.
+    named = lists.filter("c > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = save_table(named.filter("node <> pivot").drop("c"), "members")
+    mixed = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    members = members.join(mixed.filter("low <> high").select("token"), "token")
+    members = members.join(found.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+    members = members.join(sizes, "node").select(
+        "token", F.struct("node", "component", "main", "size.n", "size.most").alias("x")
     )
+    members = save_table(members, "unconnected")
     strays = members.filter("x.component <> x.main")
-    members = members.filter("x.node <> x.pivot").withColumnRenamed("x", "y")
-    # Each pair once: at its first common shingle, and of two strays the larger node first.
-    once = F.element_at(F.array_intersect("x.firsts", "y.firsts"), 1) == F.col("token")
-    met = strays.join(members, "token").filter(
+    met = strays.join(members.withColumnRenamed("x", "y"), "token").filter(
         (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") > F.col("y.node")))
         & (F.greatest("x.n", "y.n") >= limit)
-        & _sizes_near("x", "y", percent)
-        & _bound("x", "y", percent)
-        & once
+        & _can_link("most", "x", "y", percent)
     )
-    rest = save_table(met.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct(), "pairs")
-    return edges.unionByName(verified(rest, unique, docs, width, percent))
+    rest = met.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
+    return edges.unionByName(verified(_bounded(rest, sets, percent), unique, docs, width, percent))
 
 
 def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -304,18 +320,21 @@ def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     number that linked rows share; an empty set has a component of its own."""
     sets = ordered_sets(docs, width, percent)
     held = sets.filter("n > 0")
-    unique = held.groupBy("set_a", "set_b").agg(
-        F.min("row").alias("node"),
-        F.first("n").alias("n"),
-        F.first("firsts").alias("firsts"),
-        F.min(F.struct(*KEY)).alias("key"),
+    # Equal sets are one node, the row of the smallest number; the others of its rows go.
+    reps = save_table(held.groupBy("set_a", "set_b").agg(F.min("row").alias("node")), "nodes")
+    copies = save_table(
+        held.select("set_a", "set_b", "row").join(reps, ["set_a", "set_b"]).filter("row <> node").select("row"), "copies"
     )
-    unique = save_table(unique.select("set_a", "set_b", "node", "n", "firsts", "key.*"), "unique")
+    if copies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        unique = held.join(F.broadcast(copies), "row", "left_anti")
+    else:
+        unique = save_table(held.join(copies, "row", "left_anti"), "unique")
+    unique = unique.withColumnRenamed("row", "node")
     limit = light_limit(unique, percent)
     light = save_table(light_edges(unique, limit, percent), "light")
     edges = light.unionByName(heavy_edges(unique, light, docs, limit, width, percent))
     found = components(edges)
-    nodes = unique.select("set_a", "set_b", "node").join(found, "node", "left")
+    nodes = reps.join(found, "node", "left")
     nodes = nodes.select("set_a", "set_b", F.coalesce("component", "node").alias("component"))
     rows = held.drop("firsts").join(nodes, ["set_a", "set_b"])
     alone = sets.filter("n = 0").drop("firsts").withColumn("component", F.col("row"))
