@@ -21,6 +21,8 @@ from farelane.session import save_table
 
 #: Cells of the sketch of shingle counts, in chunks of a row, and tasks whose sketches meet first.
 CELL_BITS, CHUNK_BITS, MEETING = 22, 16, 64
+#: Bytes of text whose words and shingles a task holds at once.
+HELD_BYTES = 2 << 20
 #: Largest set that may be light, and rows of subsets that a scanned pair is worth.
 SMALL, PAIR_COST = 32, 4
 
@@ -60,12 +62,10 @@ def count_sketch(docs: DataFrame, width: int) -> np.ndarray:
     def own(batches):
         cells = np.zeros(1 << CELL_BITS, dtype=np.uint32)
         seen = 0
-        for batch in slices(batches):
-            sets = list(shingle_sets(batch.column("text"), width))
-            if sets:
-                at = (np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-                cells += np.bincount(at, minlength=1 << CELL_BITS).astype(np.uint32)
-                seen += batch.num_rows
+        for batch in slices(batches, limit=HELD_BYTES):
+            for own in shingle_sets(batch.column("text"), width):
+                cells[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)] += np.uint32(1)
+            seen += batch.num_rows
         if seen:
             part = TaskContext.get().partitionId()
             parts = np.minimum(cells, 255).astype(np.uint8).reshape(-1, 1 << CHUNK_BITS)
@@ -100,7 +100,7 @@ def ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     cells = docs.sparkSession.sparkContext.broadcast(count_sketch(docs, width))
 
     def order(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=HELD_BYTES):
             sizes, set_a, set_b, firsts = [], [], [], []
             for own in shingle_sets(batch.column("text"), width):
                 n = len(own)
@@ -240,7 +240,7 @@ def verified(pairs: DataFrame, unique: DataFrame, docs: DataFrame, width: int, p
     texts = keyed.join(broadcast_if_small(wanted), KEY).select("node", "text")
 
     def sets(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=HELD_BYTES):
             own = [x.view(np.int64) for x in shingle_sets(batch.column("text"), width)]
             cuts = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
             values = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
