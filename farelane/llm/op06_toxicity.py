@@ -20,6 +20,8 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 #: Gaps of the skip-grams; 1 is a bigram.
 GAPS = (1, 2)
 
+#: Bytes of text whose features a task holds at once.
+HELD_BYTES = 2 << 20
 #: Letters of a word's stem.
 STEM = 5
 
@@ -90,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
     texts = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic", "order").agg(F.min("text").alias("text"))
 
     def hashed(batches) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=HELD_BYTES):
             at, numbers = distinct(*features(batch.column("text"), bits), bits)
             cuts = np.searchsorted(at, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -103,8 +105,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
             )
 
     def learned(batches) -> Iterator[pa.RecordBatch]:
-        held = [(b.column("toxic").to_numpy(), b.column("features")) for b in batches if b.num_rows]
-        rows = [(np.append(x.values.to_numpy(), 1 << bits), int(y)) for ys, xs in held for y, x in zip(ys, xs)]
+        rows, bias = [], np.array([1 << bits], dtype=np.int32)
+        for batch in batches:
+            for x, y in zip(batch.column("features"), batch.column("toxic").to_pylist()):
+                rows.append((np.concatenate([x.values.to_numpy(), bias]), y))
         model = Ftrl(bits)
         for _ in range(PASSES):
             for at, label in rows:
@@ -133,7 +137,7 @@ def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text", bi
         at, weight = sent.value
         dense = np.zeros((1 << bits) + 1)
         dense[at] = weight
-        for batch in slices(batches, "text_"):
+        for batch in slices(batches, "text_", HELD_BYTES):
             rows, numbers = features(batch.column("text_"), bits)
             used = dense[numbers] != 0
             rows, numbers = distinct(rows[used], numbers[used], bits)
