@@ -300,16 +300,19 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     mixed = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     members = members.join(mixed.filter("low <> high").select("token"), "token")
     members = members.join(found.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    members = members.join(sizes, "node").select(
-        "token", F.struct("node", "component", "main", "size.n", "size.most").alias("x")
-    )
     members = save_table(members, "unconnected")
+    # A pair meets in every list that both are in; it counts where their smallest common token is.
+    own = members.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    members = members.join(own.join(sizes, "node"), "node").select(
+        "token", F.struct("node", "component", "main", "tokens", "size.n", "size.most").alias("x")
+    )
     strays = members.filter("x.component <> x.main")
     met = strays.join(members.withColumnRenamed("x", "y"), "token").filter(
         (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") > F.col("y.node")))
         & (F.greatest("x.n", "y.n") >= limit)
         & _can_link("most", "x", "y", percent)
+        & (F.element_at(F.array_intersect("x.tokens", "y.tokens"), 1) == F.col("token"))
     )
     rest = met.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
     return edges.unionByName(verified(_bounded(rest, sets, percent), unique, docs, width, percent))
