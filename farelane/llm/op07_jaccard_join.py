@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.llm.components import components
@@ -268,8 +268,9 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int, width: int, percent: int) -> DataFrame:
     """Edges that connect all linked sets of which one has ``limit`` shingles or more.
 
-    Inverted lists hold the first shingles of each set. Lists of one member go; what a set can then
-    have in common with any other is the number of its lists left and its shingles beyond the first.
+    Inverted lists hold the first shingles of each set. Lists of one member go. Sets that meet in a
+    list have nothing in common before its shingle but what is in other lists, so a set's shingles
+    that stood alone before it can't be common: ``most`` is what is left.
     Every list has a pivot, its smallest node. Members are compared with it first, which connects a
     group of near copies without a pair of each two. Then only members that are not connected yet
     are compared: those outside the pivot's component with all members of other components. What is
@@ -277,20 +278,19 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     """
     least = -(-percent * limit // 100)
     kept = unique.filter(F.col("n") >= least).select("node", "n", _first(percent).alias("firsts"))
-    postings = kept.select("node", F.explode("firsts").alias("token"))
+    postings = kept.select("node", "n", F.posexplode("firsts").alias("place", "token"))
     pivots = postings.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("c"))
-    lists = save_table(postings.join(pivots.filter("c > 1"), "token"), "lists")
-    met = lists.groupBy("node").agg(F.count(F.lit(1)).alias("met"))
-    sizes = kept.select("node", "n", (F.col("n") - F.size("firsts")).alias("beyond")).join(met, "node")
-    sizes = save_table(
-        sizes.select("node", F.struct("n", (F.col("met") + F.col("beyond")).alias("most")).alias("size")), "sizes"
-    )
+    shared = postings.join(pivots.filter("c > 1"), "token")
+    in_order = Window.partitionBy("node").orderBy("place")  # as many rows as a set has first shingles
+    alone = F.col("place") - F.row_number().over(in_order) + 1
+    lists = save_table(shared.withColumn("most", F.col("n") - alone).drop("place"), "lists")
     sets = kept.select("node", F.struct("n", "firsts").alias("set"))
 
-    pairs = lists.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    pairs = pairs.join(sizes.toDF("u", "x"), "u").join(sizes.toDF("v", "y"), "v")
+    size = F.struct("n", "most")
+    centres = lists.filter("node = pivot").select("token", F.col("node").alias("v"), size.alias("y"))
+    pairs = lists.filter("node <> pivot").select("token", F.col("node").alias("u"), size.alias("x")).join(centres, "token")
     heavy = F.greatest("x.n", "y.n") >= limit
-    pairs = pairs.filter(heavy & _can_link("most", "x", "y", percent)).select("u", "v")
+    pairs = pairs.filter(heavy & _can_link("most", "x", "y", percent)).select("u", "v").distinct()
     edges = save_table(verified(_bounded(pairs, sets, percent), unique, docs, width, percent), "links")
 
     found = save_table(components(edges.unionByName(light)), "components")
@@ -303,8 +303,8 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     members = save_table(members, "unconnected")
     # A pair meets in every list that both are in; it counts where their smallest common token is.
     own = members.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-    members = members.join(own.join(sizes, "node"), "node").select(
-        "token", F.struct("node", "component", "main", "tokens", "size.n", "size.most").alias("x")
+    members = members.join(own, "node").select(
+        "token", F.struct("node", "component", "main", "tokens", "n", "most").alias("x")
     )
     strays = members.filter("x.component <> x.main")
     met = strays.join(members.withColumnRenamed("x", "y"), "token").filter(
