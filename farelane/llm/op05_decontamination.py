@@ -144,7 +144,7 @@ def find_leaks(
     Words are replaced by typed slots: numbers, units after a number, names (capitalised words). Runs of
     ``WINDOW`` such words are hashed and joined with those of the items; matches of one document and
     item with the same shift are put together, and ``LEAST`` words in place, or all of a shorter
-    item, make a candidate. Its slots are then compared: one value of the item must always stand for
+    item, make a candidate, which goes on as far as words and slots match. Its slots are then compared: one value of the item must always stand for
     one value of the document and the other way round. Items below ``WINDOW`` words are one window.
 
     Returns a row for each document, item and shift: ``key_a``, ``key_b`` (the row's key), ``doc_id``,
@@ -179,6 +179,7 @@ def find_leaks(
         )
 
     each = held.select(*KEY, "doc_id", "words", F.explode("found").alias("x"))
+    each = each.withColumn("x", F.col("x").withField("covered", _extended(F.col("x"), F.col("words"))))
     each = each.withColumn("slots", slots(F.col("x"))).withColumn("pairs", F.array_distinct("slots"))
     given = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["given"])))
     here = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["here"])))
@@ -195,6 +196,29 @@ def find_leaks(
     )
 
 
+def _extended(x: Column, words: Column) -> Column:
+    """The places in line with a match, with those before and after it that match without a gap."""
+
+    def same(p: Column) -> Column:
+        at = x["shift"] + p
+        here, kind = F.get(words, at), F.get(x["kinds"], p)
+        slot = (kind > 0) & (kind == kind_of(here, F.get(words, at - 1)))
+        return F.coalesce((F.lower(here) == F.lower(F.get(x["item"], p))) | slot, F.lit(False))
+
+    def run(places: Column) -> Column:
+        """How many of the places match from the first on."""
+        end = F.array_position(F.transform(places, same), False)
+        return F.when(end > 0, end - 1).otherwise(F.size(places)).cast("int")
+
+    first, last, n = F.array_min(x["covered"]), F.array_max(x["covered"]), F.size(x["item"])
+    none = F.array().cast("array<int>")
+    before = F.when(first > 0, F.sequence(first - 1, F.lit(0), F.lit(-1))).otherwise(none)
+    after = F.when(last < n - 1, F.sequence(last + 1, n - 1)).otherwise(none)
+    return F.concat(
+        F.reverse(F.slice(before, 1, run(before))), x["covered"], F.slice(after, 1, run(after))
+    )
+
+
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that ``find_leaks`` finds; all columns stay."""
     leaks = save_table(find_leaks(docs, items, id_col, text_col).select(*KEY).distinct(), "leaks")
