@@ -110,7 +110,7 @@ def _matches(number: int, template: Template, weights: dict[str, float], thresho
             lambda w, i: F.when(F.get("words", start + i) == w, F.get(worth, i)).otherwise(0.0),
         )
         total = sum(weights[w] for w in template.words)
-        return F.least(F.lit(1.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / total)
+        return F.round(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / total, 9)
 
     found = F.transform(
         F.filter(starts, holds),
