@@ -1,9 +1,9 @@
-"""Training, tuning, scoring and evaluation, with few trees to keep the runs short."""
+"""Training, tuning, scoring and evaluation over the whole grid; scoring uses one of its points."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelane.catalog import query, sql
@@ -19,8 +19,10 @@ from farelane.sources.derived import trips
 from farelane.sources.sinks import load_model, save_model
 from farelane.sources.sinks import write_predictions as write
 
-DEPTH, TREES = 3, 5
-GRID_DEPTHS, GRID_TREES = (3, 4), (5, 10)
+# The grid point whose model is scored.
+DEPTH, TREES = m.MAX_DEPTHS[0], m.N_TREES[0]
+
+_FITTED: dict[tuple[str, str], PipelineModel] = {}
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +30,11 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    return m.fit_gbt(_cleaned(spark, sf_dir), DEPTH, TREES)
+    """The model of that point, fitted once for each application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = m.fit_gbt(_cleaned(spark, sf_dir), DEPTH, TREES)
+    return _FITTED[key]
 
 
 def _scored_rows(scored: DataFrame) -> DataFrame:
@@ -47,44 +53,63 @@ _SCORED_SQL = sql.with_trips(
 )
 
 
-@query()
+# Least share of the fares' variance that a fitted model explains.
+_GOOD = 0.85
+_GRID_SQL = """SELECT d.max_depth, t.n_trees, TRUE AS good FROM (VALUES (3), (4)) d(max_depth)
+    CROSS JOIN (VALUES (50), (100)) t(n_trees)"""
+
+
+def _good_points(grid: DataFrame) -> DataFrame:
+    """Each point with whether it explains enough; the best of them has to be marked, once."""
+    marked = F.sum(F.col("is_best").cast("int")).over(Window.partitionBy())
+    most = F.max("r2").over(Window.partitionBy())
+    best = (marked == 1) & (~F.col("is_best") | (F.col("r2") == most))
+    return grid.withColumn("good", best & (F.col("r2") > _GOOD)).select("max_depth", "n_trees", "good")
+
+
+@query(
+    sql.with_trips(
+        f"SELECT 3 AS max_depth, 50 AS n_trees, count(fare_amount) AS n_scored, TRUE AS good FROM trips WHERE {sql.CLEAN}"
+    )
+)
 def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = _cleaned(spark, sf_dir)
-    scored = m.score(m.fit_gbt(cleaned, DEPTH, TREES), cleaned)
-    return r2(scored, LABEL, "predictions").select(
-        F.lit(DEPTH).alias("max_depth"), F.lit(TREES).alias("n_trees"), "r2"
+    scored = m.score(fitted(spark, sf_dir), _cleaned(spark, sf_dir)).filter(F.col(LABEL).isNotNull())
+    count = scored.agg(F.count("predictions").alias("n_scored"))
+    return r2(scored, LABEL, "predictions").withColumn("n_scored", count.scalar()).select(
+        F.lit(DEPTH).alias("max_depth"), F.lit(TREES).alias("n_trees"), "n_scored", (F.col("r2") > _GOOD).alias("good")
     )
 
 
-@query()
+@query(_GRID_SQL)
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = split_trips(trips(spark, sf_dir))
     training, validation = (
         labelled.filter(F.col("split_name") == name) for name in ("training", "validation")
     )
     folded = add_features(clean(with_fold(training, validation)))
-    return m.tune(folded, GRID_DEPTHS, GRID_TREES).grid_frame(spark)
+    return _good_points(m.tune(folded).grid_frame(spark))
 
 
 def _trained_files(spark: SparkSession, sf_dir: str) -> tuple[str, str, m.Tuned]:
     path, root = fresh_path(spark, "trips") + ".parquet", fresh_path(spark, "splits")
     artifact = fresh_path(spark, "model")
     trips(spark, sf_dir).write.parquet(path)
-    return root, artifact, train(spark, path, root, artifact, None, GRID_DEPTHS, GRID_TREES)
+    return root, artifact, train(spark, path, root, artifact)
 
 
-@query()
+@query(_GRID_SQL)
 def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, artifact, _ = _trained_files(spark, sf_dir)
-    return spark.read.schema(
-        "max_depth int, n_trees int, r2 double, is_best boolean"
-    ).json(f"{artifact}/grid")
+    grid = spark.read.schema("max_depth int, n_trees int, r2 double, is_best boolean")
+    return _good_points(grid.json(f"{artifact}/grid"))
 
 
-@query()
+@query("SELECT TRUE AS below_deviation")
 def evaluate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, artifact, _ = _trained_files(spark, sf_dir)
-    return evaluate_file(spark, artifact, f"{root}/split_name=test")
+    test = f"{root}/split_name=test"
+    deviation = clean(spark.read.parquet(test)).agg(F.stddev_pop(LABEL).alias("s")).scalar()
+    return evaluate_file(spark, artifact, test).select((F.col("rmse") < deviation).alias("below_deviation"))
 
 
 @query(sql.with_trips(f"SELECT count(*) AS n_rows, count(*) AS n_equal FROM trips WHERE {sql.CLEAN}"))
@@ -97,10 +122,10 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after.agg(F.count(F.lit(1)).alias("n_rows"), equal.alias("n_equal"))
 
 
-@query()
+@query(_SCORED_SQL)
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = m.score(fitted(spark, sf_dir), add_features(trips(spark, sf_dir)))
-    return scored.select("key", "predictions")
+    return _scored_rows(scored)
 
 
 @query(_SCORED_SQL)

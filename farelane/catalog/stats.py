@@ -104,8 +104,9 @@ def _histogram_sql(table: str) -> str:
            FROM (SELECT CAST(range AS INT) AS bin FROM range(10)) CROSS JOIN bounds LEFT JOIN binned USING (bin)""",
         f"""bounds AS (SELECT min(hav_distance_km) AS lo,
               (max(hav_distance_km) - min(hav_distance_km)) / 10 AS width FROM {table})""",
-        f"""binned AS (SELECT CAST(least(floor((hav_distance_km - lo) / width), 9) AS INT) AS bin,
-              count(*) AS n FROM {table}, bounds GROUP BY 1)""",
+        f"""binned AS (SELECT bin, count(*) AS n FROM {table}, bounds,
+              (SELECT CAST(range AS INT) AS bin FROM range(10)) WHERE hav_distance_km >= lo + bin * width
+              AND (bin = 9 OR hav_distance_km < lo + (bin + 1) * width) GROUP BY 1)""",
     )
 
 

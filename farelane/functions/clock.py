@@ -17,7 +17,11 @@ REQUEST_TIME = rf"^{_DATE}[T ]{_CLOCK}({_SECONDS})?({_OFFSET})?$"
 def _parse(text: Column) -> Column:
     # Spark's parser wants seconds and a colon inside the offset; supply both where they lack.
     full = F.regexp_replace(text, rf"([T ]{_CLOCK})(?=$| ?[Z+\-UG])", "$1:00")
-    return F.try_to_timestamp(F.regexp_replace(full, r"(:[\d.]+ ?[+-]\d{2})(\d{2})$", "$1:$2"))
+    full = F.regexp_replace(full, r"(:[\d.]+ ?[+-]\d{2})(\d{2})$", "$1:$2")
+    # Without an offset the text is UTC, whatever the session's zone.
+    zoned = F.when(~full.rlike(rf"[T ]{_CLOCK}"), F.concat(full, F.lit(" 00:00:00+00:00")))
+    zoned = zoned.when(full.rlike(rf":[\d.]+ ?({_OFFSET}|UTC|GMT)$"), full)
+    return F.try_to_timestamp(zoned.otherwise(F.concat(full, F.lit("+00:00"))))
 
 
 def parse_timestamp(text: Column) -> Column:

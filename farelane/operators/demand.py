@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.operators.running import HOT_ROWS, running_total
+from farelane.operators.running import SLICE_ROWS, running_total
 from farelane.operators.stats import group_profile
 
 HALF_HOUR = 30 * 60 * 1_000_000
@@ -13,7 +13,7 @@ HOUR = 2 * HALF_HOUR
 
 
 def rolling_count(
-    df: DataFrame, width_us: int, name: str, value: str = "fare_amount", hot_rows: int = HOT_ROWS
+    df: DataFrame, width_us: int, name: str, value: str = "fare_amount", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Per trip with a pickup time t: the non-null values with a pickup in (t - width, t],
     its own included. Of trips at the same instant each sees those up to its ``key``.
@@ -42,7 +42,7 @@ def rolling_count(
         ["at_", "arrives_", "key"],
         F.when(F.col("arrives_") == 1, F.col("counted_")).otherwise(-1),
         1 - F.col("arrives_"),
-        hot_rows,
+        slice_rows,
     )
     return swept.filter(arrives == 1).select(
         *df.columns, (F.col("total") + F.col("running")).alias(name)

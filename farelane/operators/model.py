@@ -63,6 +63,13 @@ def fit_gbt(df: DataFrame, max_depth: int, n_trees: int) -> PipelineModel:
     return PipelineModel([*inputs.stages, _fit_trees(inputs.transform(df), max_depth, n_trees)])
 
 
+def explained(error: float, variance: float) -> float:
+    """R² from the mean squared error; of equal labels 1 if they are met and else 0."""
+    if variance == 0:
+        return float(error == 0)
+    return 1 - error / variance
+
+
 def tune(
     df: DataFrame, max_depths: tuple[int, ...] = MAX_DEPTHS, n_trees: tuple[int, ...] = N_TREES
 ) -> Tuned:
@@ -80,12 +87,14 @@ def tune(
         training = vectors.filter(F.col("split") == TRAIN_FOLD)
         validation = vectors.filter(F.col("split") == VALIDATION_FOLD)
         variance = validation.agg(F.var_pop(LABEL)).first()[0]
+        if variance is None:
+            raise ValueError("the validation fold has no labelled rows")
 
         @inheritable_thread_target(df.sparkSession)
         def scores(max_depth: int) -> list[GridPoint]:
             model = _fit_trees(training, max_depth, max(n_trees))
             mse = model.evaluateEachIteration(validation, "squared")
-            return [GridPoint(max_depth, n, 1 - mse[n - 1] / variance) for n in n_trees]
+            return [GridPoint(max_depth, n, explained(mse[n - 1], variance)) for n in n_trees]
 
         with ThreadPool(len(max_depths)) as pool:
             grid = [point for points in pool.map(scores, max_depths) for point in points]

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from farelane.session import save_table
 
-HOT_ROWS = 10_000_000
-MAX_HOT_GROUPS = 10_000
+#: Rows of a slice, whatever the number of rows or the size of a group.
+SLICE_ROWS = 1_000_000
 
 
 def running_total(
@@ -17,45 +17,17 @@ def running_total(
     order: list[str],
     value: Column,
     overall: Column,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add ``running``, the sum of ``value`` over the group's rows up to and including the
     current one, and ``total``, the sum of ``overall`` over the whole group.
 
-    ``order`` has to be total within a group. A narrow count first looks for groups that are
-    too large for one task. Without any, a window per group does. Hot groups are cut into
-    ranges of their order instead, so that no task holds more than a slice of one.
+    ``order`` has to be total within a group. The rows are cut into ranges of (group, order) of
+    about ``slice_rows`` rows each, so a hot group, even one crowded instant, takes many slices
+    and a slice many small groups. Each is summed, and starts at the sum of its group's earlier ones.
     """
-    df = df.withColumns({"value_": value, "overall_": overall})
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("rows_")).persist()
-    try:
-        rows, largest = sizes.agg(F.sum("rows_"), F.max("rows_")).first()
-        # At most MAX_HOT_GROUPS groups exceed the limit, so their keys may be collected and
-        # broadcast, and twice that many slices cover them.
-        limit = max(hot_rows, (rows or 0) // MAX_HOT_GROUPS)
-        if (largest or 0) <= limit:
-            return _window_totals(df, group, order).drop("value_", "overall_")
-        hot_sizes = sizes.filter(F.col("rows_") > limit).select(*group)
-        hot_keys = df.sparkSession.createDataFrame(hot_sizes.collect(), hot_sizes.schema)
-    finally:
-        sizes.unpersist()
-
-    hot_keys = F.broadcast(hot_keys)
-    cold = _window_totals(df.join(hot_keys, group, "left_anti"), group, order)
-    hot = _sliced_totals(df.join(hot_keys, group, "left_semi"), group, order, 2 * rows // limit + 2)
-    return cold.unionByName(hot).drop("value_", "overall_")
-
-
-def _window_totals(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    ordered = Window.partitionBy(*group).orderBy(*order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    all_rows = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumns(
-        {"running": F.sum("value_").over(so_far), "total": F.sum("overall_").over(all_rows)}
-    )
-
-
-def _sliced_totals(df: DataFrame, group: list[str], order: list[str], slices: int) -> DataFrame:
+    df = save_table(df.withColumns({"value_": value, "overall_": overall}), "summands")
+    slices = max(1, -(-df.count() // slice_rows))
     ranged = df.repartitionByRange(slices, *group, *order)
     # Saved, because the slice a row falls in must be the same in both uses below.
     saved = save_table(ranged.withColumn("slice_", F.spark_partition_id()), "slices")
@@ -66,8 +38,8 @@ def _sliced_totals(df: DataFrame, group: list[str], order: list[str], slices: in
     in_group = Window.partitionBy(*group)
     before = in_group.orderBy("slice_").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
-        *group,
-        "slice_",
+        *[F.col(g).alias(f"{g}_of") for g in group],
+        F.col("slice_").alias("slice_of"),
         F.coalesce(F.sum("slice_value").over(before), F.lit(0)).alias("start_"),
         F.sum("slice_overall").over(in_group).alias("total"),
     )
@@ -76,9 +48,12 @@ def _sliced_totals(df: DataFrame, group: list[str], order: list[str], slices: in
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    same = F.col("slice_") == F.col("slice_of")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"{g}_of"))
     return (
         saved.withColumn("running", F.sum("value_").over(so_far))
-        .join(F.broadcast(starts), [*group, "slice_"])
+        .join(starts, same)
         .withColumn("running", F.col("running") + F.col("start_"))
-        .drop("slice_", "start_")
+        .drop("slice_", "slice_of", "start_", "value_", "overall_", *[f"{g}_of" for g in group])
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelane.operators.quantiles import rank_cuts
+from farelane.schema import null_safe_hash
 
 
 def sort_trips(df: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def head_fraction(df: DataFrame, fraction: float) -> DataFrame:
 
 def _head(df: DataFrame, size: Callable[[int], int]) -> DataFrame:
     # The n-th key is found by counting; taking the rows is then a filter, not a sort.
-    order = [F.col("key"), F.xxhash64(*df.columns)]
+    order = [F.col("key"), null_safe_hash(df.columns)]
     _, [cut] = rank_cuts(df, order, lambda count: [size(count)])
     if cut.take == cut.ties:
         return df.filter(cut.inside | cut.tied)

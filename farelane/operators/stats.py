@@ -58,7 +58,14 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     elif lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
-    slot = F.least(F.floor((F.col(column) - lo) / width), F.lit(bins - 1))
+    # Rounding can put a value beside its bin, so it is held against the edges themselves.
+    ends = F.array(*[F.lit(lo + i * width) for i in range(bins)], F.lit(float(hi)))
+    near = F.greatest(F.least(F.floor((F.col(column) - lo) / width), F.lit(bins - 1)), F.lit(0)).cast("int")
+    slot = (
+        F.when(F.col(column) < F.get(ends, near), near - 1)
+        .when((near < bins - 1) & (F.col(column) >= F.get(ends, near + 1)), near + 1)
+        .otherwise(near)
+    )
     counts = present.groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     index = F.col("id").cast("int")
     edges = spark.range(bins).select(

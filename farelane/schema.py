@@ -33,13 +33,24 @@ def typed_column(name: str, source: T.DataType) -> Column:
     if isinstance(target, T.TimestampType):
         return parse_timestamp(col) if isinstance(source, T.StringType) else col.cast(target)
     if name == "key":
-        # A key that is not an integer still has to identify and order its row.
-        return F.coalesce(col.try_cast(target), F.xxhash64(col))
+        # A key that is not an integer still has to identify and order its row; a text counts as
+        # an integer only in its usual form, so that different texts stay different.
+        number = col.try_cast(target)
+        same = number.cast("string") == col.cast("string")
+        return F.when(col.isNotNull(), F.when(same, number).otherwise(F.xxhash64(col)))
     if isinstance(target, T.IntegerType):
-        return F.nanvl(col.try_cast("double"), F.lit(None).cast("double")).try_cast(target)
+        # Rounded up and held within range: a count is above a limit if and only if it was before.
+        number = F.nanvl(col.try_cast("double"), F.lit(None).cast("double"))
+        held = F.when(number.isNotNull(), F.least(F.greatest(F.ceil(F.least(F.greatest(number, F.lit(-1e15)), F.lit(1e15))), F.lit(-(1 << 31))), F.lit((1 << 31) - 1)))
+        return held.cast(target)
     return col.try_cast(target)
 
 
+def null_safe_hash(columns: list[str]) -> Column:
+    """A hash of a row in which null differs from every value and has a place."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def cast_trips(df: DataFrame) -> DataFrame:
     """Cast the known columns by name and keep every other column as it is."""
     known = {f.name: f.dataType for f in df.schema if f.name in TRIPS.fieldNames()}

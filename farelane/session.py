@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session, where driver and executors share one machine, may go
-    without the setting; it then gets a temporary folder of its own.
+    Without the setting it is ``/tmp/farelane`` on the session's default file system, which has
+    to be a shared one unless driver and executors share a machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    fs, path = hadoop_path(spark, "/tmp/farelane")
+    own_machine = fs.getUri().getScheme() == "file"
+    if own_machine and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="farelane-")
+    return fs.makeQualified(path).toString()
 
 
 def app_dir(spark: SparkSession) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelane.operators.quality import is_valid_trip
-from farelane.schema import TRIPS, cast_trips, nan_to_null, typed_column
+from farelane.schema import TRIPS, cast_trips, nan_to_null, null_safe_hash, typed_column
 from farelane.session import prepare
 
 CORRUPT = "_corrupt_record"
@@ -25,8 +25,9 @@ def file_format(path: str) -> str:
 
 
 def _csv_text(spark: SparkSession, path: str) -> DataFrame:
-    # The header gives the names, so that column order and extra columns do not matter.
-    reader = spark.read.option("header", True)
+    # The header gives the names; a file of the folder with another header fails the read, since
+    # columns are taken by their place.
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     names = reader.csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     return (
@@ -76,7 +77,7 @@ def read_trips(
         text = _csv_text(spark, path)
         raw = text.filter(~_is_bad_line(text)).drop(CORRUPT)
     if "key" not in raw.columns:
-        raw = raw.withColumn("key", F.xxhash64(*raw.columns))
+        raw = raw.withColumn("key", null_safe_hash(raw.columns))
     missing = [n for n in TRIPS.fieldNames() if n not in raw.columns]
     if missing:
         raise ValueError(f"not a trip table, columns missing: {', '.join(missing)}")

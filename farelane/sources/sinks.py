@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.operators.sampling import head_sample
-from farelane.operators.split import SPLIT_NAMES, split_trips
+from farelane.operators.split import split_trips
 from farelane.session import hadoop_path
 from farelane.sources.readers import read_trips
 
 
-def write_splits(df: DataFrame, root: str) -> None:
+def write_splits(df: DataFrame, root: str, mode: str = "errorifexists") -> None:
     """Raw, uncleaned trips with their ``split_name``, one Parquet folder per split."""
-    df.write.partitionBy("split_name").parquet(root)
+    df.write.mode(mode).partitionBy("split_name").parquet(root)
 
 
 def read_split(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -23,9 +23,9 @@ def read_split(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def has_splits(spark: SparkSession, root: str) -> bool:
-    """Whether a finished write holds all three splits under ``root``."""
-    wanted = ["_SUCCESS", *[f"split_name={name}" for name in SPLIT_NAMES]]
-    return all(fs.exists(p) for fs, p in (hadoop_path(spark, f"{root}/{w}") for w in wanted))
+    """Whether a finished write stands under ``root``; a split without rows has no folder."""
+    fs, marker = hadoop_path(spark, f"{root}/_SUCCESS")
+    return fs.exists(marker)
 
 
 def load_or_split(
@@ -33,13 +33,13 @@ def load_or_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Training and validation trips: reused from ``root`` when there, else split and written.
 
-    ``sample_rows`` limits a new split to the first rows by key; by default all are used.
+    What an unfinished write left under ``root`` is overwritten. ``sample_rows`` limits a new split to the first rows by key; by default all are used.
     """
     if not has_splits(spark, root):
         trips = read_trips(spark, path)
         if sample_rows is not None:
             trips = head_sample(trips, sample_rows)
-        write_splits(split_trips(trips), root)
+        write_splits(split_trips(trips), root, "overwrite")
     return read_split(spark, root, "training"), read_split(spark, root, "validation")
 
 

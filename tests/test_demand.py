@@ -49,8 +49,8 @@ def test_before_the_epoch_and_without_time(spark):
     assert _counts(_trips(spark, rows)) == {0: 1, 1: 2}
 
 
-@pytest.mark.parametrize("hot_rows", [10_000_000, 40, 5])
-def test_crowded_instant_and_bucket(spark, hot_rows):
+@pytest.mark.parametrize("slice_rows", [10_000_000, 40, 5])
+def test_crowded_instant_and_bucket(spark, slice_rows):
     """A third of the trips at one instant, a third in one half hour, the rest spread; whether
     or not their buckets count as hot."""
     rng = random.Random(3)
@@ -60,8 +60,8 @@ def test_crowded_instant_and_bucket(spark, hot_rows):
     rows = [(None if m is None else round(m, 3), f) for m, f in rows]
     rng.shuffle(rows)
     df = _trips(spark, rows).repartition(5)
-    assert _counts(df, hot_rows=hot_rows) == _brute_force(rows, 30)
-    assert _counts(df, HOUR, hot_rows=hot_rows) == _brute_force(rows, 60)
+    assert _counts(df, slice_rows=slice_rows) == _brute_force(rows, 30)
+    assert _counts(df, HOUR, slice_rows=slice_rows) == _brute_force(rows, 60)
 
 
 def test_equals_pandas_rolling(spark, sf_dir):
@@ -75,7 +75,7 @@ def test_equals_pandas_rolling(spark, sf_dir):
 
 def test_all_columns_and_rows_stay(spark, sf_dir):
     df = trips(spark, sf_dir)
-    counted = rolling_count(df, HALF_HOUR, "n", hot_rows=10)
+    counted = rolling_count(df, HALF_HOUR, "n", slice_rows=10)
     assert counted.columns == [*df.columns, "n"]
     assert df.exceptAll(counted.drop("n")).isEmpty()
 

@@ -13,11 +13,11 @@ from farelane.streaming.requests import load_valid, rejects, validate
 from farelane.streaming.scoring import read_rejects, read_scored, score_stream
 
 GOOD = {
-    "pickup_latitude": -80,
-    "pickup_longitude": -19,
-    "dropoff_latitude": 80,
-    "dropoff_longitude": 19,
-    "pickup_datetime": "2009-01-01 00:00:46+00:00",
+    "pickup_latitude": 41.5,
+    "pickup_longitude": -72.25,
+    "dropoff_latitude": 42.125,
+    "dropoff_longitude": -71.5,
+    "pickup_datetime": "2016-07-09 13:20:05+00:00",
 }
 
 
@@ -135,4 +135,4 @@ def test_stream_equals_batch(spark, model):
     got = score_requests(model, validate(request)).first()
     frame = load_valid(validate(request))
     assert got.fare_amount == m.score(model, add_features(frame)).first().predictions
-    assert (got.day_of_week, got.hour) == (3, 0)
+    assert (got.day_of_week, got.hour) == (5, 13)
