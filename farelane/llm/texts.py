@@ -31,6 +31,8 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
             text = part.column(at).cast(pa.large_string()).take(pa.array(np.arange(hi - lo)))
             text = pc.fill_null(text, "")
             yield part.set_column(at, column, text)
+    # The worker lives on and shares its executor's memory.
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
