@@ -20,27 +20,37 @@ from farelane.llm.ship import ship
 from farelane.session import save_table
 
 
+#: Rows that a Python worker is sent at once, in all stages; long texts make larger batches heavy.
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library sent to its workers and small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return ship(spark)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects."""
-    ship(spark)
+    prepared(spark)
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, of the smallest id, of each group of near duplicates."""
-    ship(spark)
+    prepared(spark)
     return one_of_each(docs, width=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold an item of the benchmark, re-parameterised or not."""
-    ship(spark)
+    prepared(spark)
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With live-looking secrets masked; every document stays, and ``n_chars`` follows its text."""
-    ship(spark)
+    prepared(spark)
     masked = redact(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -50,7 +60,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and place in it."""
-    ship(spark)
+    prepared(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
