@@ -133,7 +133,9 @@ def ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), *row_key(docs["doc_id"], docs["text"]), "doc_id", "text"
     )
     schema = f"row long, key_a long, key_b long, doc_id {ids}, n long, set_a long, set_b long, firsts array<long>"
-    return save_table(rows.mapInArrow(order, schema), "sets")
+    saved = save_table(rows.mapInArrow(order, schema), "sets")
+    cells.destroy()  # the table is read from now on
+    return saved
 
 
 def _partners(n: int, percent: int) -> list[tuple[int, int, int]]:
