@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,15 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
             text = part.column(at).cast(pa.large_string()).take(pa.array(np.arange(hi - lo)))
             text = pc.fill_null(text, "")
             yield part.set_column(at, column, text)
-    # The worker lives on and shares its executor's memory.
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on and shares its executor's memory."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def words_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

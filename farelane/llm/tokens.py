@@ -74,6 +74,17 @@ def models_letters(path: str) -> bool:
     return all(word_ids(tokenizer, w) == tokenizer.encode(w, add_special_tokens=False).ids for w in words)
 
 
+#: Words that are encoded at once; what the tokenizer returns for one is far larger than the word.
+ENCODED_WORDS = 2048
+#: Parts whose ids are put in place at once.
+GATHERED_PARTS = 1 << 16
+
+
+def _encoded(tokenizer: Tokenizer, words: list[str]):
+    for lo in range(0, len(words), ENCODED_WORDS):
+        yield from tokenizer.encode_batch_fast(words[lo : lo + ENCODED_WORDS], add_special_tokens=False)
+
+
 class Pieces:
     """The distinct words of a slice: ``rows`` and ``index`` place them, ``stem`` and ``tail``
     say what each is made of, a distinct text and the id of a mark after it or -1. ``sizes`` has the
@@ -102,7 +113,7 @@ class Pieces:
         if models_letters(path) and stems:
             direct = pc.match_substring_regex(coded.dictionary, _LETTERS).to_numpy(zero_copy_only=False)
         others = [x for x, known in zip(stems, direct) if not known]
-        rest = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        rest = _encoded(tokenizer, others)
         model, table = tokenizer.model, byte_characters()
         self.sizes, self.flat = np.empty(len(stems), dtype=np.int64), array("I")
         for i, (stem, known) in enumerate(zip(stems, direct.tolist())):
@@ -142,13 +153,18 @@ class Pieces:
         place = until[:-1] + len(ends) * self.rows
         words_until = np.searchsorted(self.rows, np.arange(self.n_rows + 1))
         parts_until = until[words_until] + len(ends) * np.arange(self.n_rows + 1)
-        part = np.empty(int(parts_until[-1]), dtype=np.int64)
+        part = np.empty(int(parts_until[-1]), dtype=np.int32)
         if len(place):
             part[place] = self.stem[self.index]
             part[place[marked] + 1] = n_stems + np.searchsorted(marks, tail[marked])
         if ends:
             part[parts_until[1:] - 1] = len(sizes) - 1
         lengths = sizes[part]
-        after = np.cumsum(lengths)
-        out = flat[np.repeat(starts[part] - (after - lengths), lengths) + np.arange(int(lengths.sum()))]
-        return out, np.concatenate([[0], after])[parts_until]
+        after = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(int(after[-1]), dtype=np.uint32)
+        for lo in range(0, len(part), GATHERED_PARTS):
+            hi = min(lo + GATHERED_PARTS, len(part))
+            first, last = int(after[lo]), int(after[hi])
+            source = np.repeat(starts[part[lo:hi]] - after[lo:hi], lengths[lo:hi])
+            out[first:last] = flat[source + np.arange(first, last)]
+        return out, after[parts_until]
