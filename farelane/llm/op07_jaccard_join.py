@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from itertools import combinations
+from itertools import combinations, count
 from math import comb
 
 import numpy as np
@@ -28,6 +28,8 @@ HELD_BYTES = 2 << 20
 BATCH_ROWS = 1000
 #: Largest set that may be light, and rows of subsets that a scanned pair is worth.
 SMALL, PAIR_COST = 32, 4
+#: Members that a list is compared with in one turn.
+CENTRES = 4
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -270,6 +272,25 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return save_table(met.filter(_bound("x", "y", percent)).select("u", "v"), "pairs")
 
 
+def _unconnected(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Members that are not their list's pivot, with their component and the pivot's (``main``): of
+    lists with two or more, and not all of one component."""
+    named = lists.filter("c > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = save_table(named.filter("node <> pivot").drop("c"), "members")
+    mixed = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    members = members.join(mixed.filter("low <> high").select("token"), "token")
+    members = members.join(found.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+    return save_table(members, "unconnected")
+
+
+def _to_meet(members: DataFrame) -> tuple[int, int]:
+    """How many members there are, and how many pairs of them share a list but no component."""
+    parts = members.groupBy("token", "component").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("c"))
+    whole = parts.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"))
+    rows, pairs = whole.agg(F.sum("c"), F.sum(F.col("c") * F.col("c") - F.col("same"))).first()
+    return int(rows or 0), int(pairs or 0) // 2
+
+
 def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int, width: int, percent: int) -> DataFrame:
     """Edges that connect all linked sets of which one has ``limit`` shingles or more.
 
@@ -277,9 +298,10 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     list have nothing in common before its shingle but what is in other lists, so a set's shingles
     that stood alone before it can't be common: ``most`` is what is left.
     Every list has a pivot, its smallest node. Members are compared with it first, which connects a
-    group of near copies without a pair of each two. Then only members that are not connected yet
+    group of near copies without a pair of each two. While many pairs of different components are
+    left, ``CENTRES`` other members of each list, by a hash, are compared with it in turn. Then only members that are not connected yet
     are compared: those outside the pivot's component with all members of other components. What is
-    left out is connected already.
+    left out is connected already; how many turns there are does not change what is connected.
     """
     least = -(-percent * limit // 100)
     kept = unique.filter(F.col("n") >= least).select("node", "n", _first(percent).alias("firsts"))
@@ -298,14 +320,23 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     pairs = pairs.filter(heavy & _can_link("most", "x", "y", percent)).select("u", "v").distinct()
     edges = save_table(verified(_bounded(pairs, sets, percent), unique, docs, width, percent), "links")
 
-    found = save_table(components(edges.unionByName(light)), "components")
-    # Members that are not their list's pivot: of lists with two or more, and not all of one component.
-    named = lists.filter("c > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    members = save_table(named.filter("node <> pivot").drop("c"), "members")
-    mixed = members.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    members = members.join(mixed.filter("low <> high").select("token"), "token")
-    members = members.join(found.toDF("pivot", "main"), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    members = save_table(members, "unconnected")
+    left = None
+    for turn in count(1):
+        found = save_table(components(edges.unionByName(light)), "components")
+        members = _unconnected(lists, found)
+        before, (rows, left) = left, _to_meet(members)
+        # Other members of each list are its centres as long as that spares a tenth of the pairs.
+        if left <= PAIR_COST * rows or (before is not None and left > before * 9 // 10):
+            break
+        member, order = F.struct("node", "component", "n", "most"), F.xxhash64("node", F.lit(turn))
+        centres = members.groupBy("token", F.pmod(order, F.lit(CENTRES))).agg(F.min_by(member, order).alias("y"))
+        centres = centres.select("token", "y")
+        pairs = members.select("token", member.alias("x")).join(centres, "token").filter(
+            (F.col("x.component") != F.col("y.component")) & heavy & _can_link("most", "x", "y", percent)
+        )
+        pairs = pairs.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
+        more = verified(_bounded(pairs, sets, percent), unique, docs, width, percent)
+        edges = save_table(edges.unionByName(more), "links")
     # A pair meets in every list that both are in; it counts where their smallest common token is.
     own = members.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
     members = members.join(own, "node").select(
