@@ -20,6 +20,7 @@ from farelane.operators.stats import histogram, median_by, size_by
 from farelane.schema import COORDINATES, LABEL
 from farelane.session import save_table
 
+# The quantiles beyond which trips are outliers.
 PASSENGER_QUANTILE = 0.98
 DISTANCE_QUANTILE = 0.99
 
@@ -72,6 +73,7 @@ def explore_clean(trips: DataFrame) -> DataFrame:
     return explore_stages(trips).after_distance
 
 
+# The names of the demand columns.
 DEMAND_WIDTHS = {
     "n_trips_up_to_30_min_before": HALF_HOUR,
     "n_trips_up_to_1_h_before": HOUR,

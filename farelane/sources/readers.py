@@ -112,8 +112,12 @@ def dataset_profile(
     )
 
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of request texts, one JSON object per line, in column ``value``."""
+def read_requests(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """A stream of request texts, one JSON object per line, in column ``value``.
+
+    A micro-batch takes ``max_files`` files at most, so that a backlog is many batches and not
+    one; all files are read in the end.
+    """
     prepare(spark)
-    return spark.readStream.format("text").load(path)
+    return spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(path)
 
