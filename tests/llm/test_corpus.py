@@ -195,6 +195,23 @@ def test_neighbours_recall(spark):
     assert len(exact & ours) / len(exact) >= 0.9
 
 
+@pytest.mark.parametrize("rank", [8, 16])
+def test_neighbours_recall_near_few_dimensions(spark, rank):
+    rng = np.random.default_rng(rank)
+    n, k = 12_000, 5
+    vectors = rng.normal(size=(n, rank)) @ rng.normal(size=(rank, 64)) + 0.05 * rng.normal(size=(n, 64))
+    vectors = vectors.astype(np.float32).astype(float)
+    rows = [(i, v) for i, v in enumerate(vectors.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    unit = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+    cosine = unit[::50] @ unit.T
+    cosine[np.arange(len(cosine)), np.arange(0, n, 50)] = -2
+    exact = {(50 * q, int(i)) for q, near in enumerate(np.argsort(-cosine, axis=1)[:, :k]) for i in near}
+    got = find_nearest(df, F.col("vec_id") % 50 == 0, k).collect()
+    assert len(got) == len(exact)
+    assert len(exact & {(r.query_id, r.vec_id) for r in got}) / len(exact) >= 0.97
+
+
 def _removed(rows, length):
     out = []
     for i, text in rows:
