@@ -42,7 +42,7 @@ def kind_of(word: Column, before: Column) -> Column:
     first = F.substring(word, 1, 1)
     return (
         F.when(_is_number(word), NUMBER)
-        .when(F.lower(word).isin(UNITS) & F.coalesce(_is_number(before), F.lit(False)), UNIT)
+        .when(F.coalesce(_is_number(before), F.lit(False)) & F.lower(word).isin(UNITS), UNIT)
         .when((first != F.lower(first)) & (word != F.upper(word)), NAME)
         .otherwise(0)
     )
@@ -52,15 +52,19 @@ def kinds_column(words: str) -> Column:
     return F.transform(words, lambda w, i: kind_of(w, F.get(words, i - 1)))
 
 
-def canonical_column(words: str, kinds: str, names: bool = True) -> Column:
-    """A number for each word: the slot's, or a hash of the word in lower case."""
+def literal_column(words: str) -> Column:
+    """A hash of each word in lower case."""
+    return F.transform(words, lambda w: F.xxhash64(F.lower(w)))
 
-    def canonical(w: Column, i: Column) -> Column:
-        kind = F.get(kinds, i)
+
+def canonical_column(literal: str, kinds: str, names: bool = True) -> Column:
+    """A number for each word: the slot's, or the word's literal hash."""
+
+    def canonical(kind: Column, own: Column) -> Column:
         slot = (kind > 0) if names else (kind > 0) & (kind != NAME)
-        return F.when(slot, kind.cast("long")).otherwise(F.xxhash64(F.lower(w)))
+        return F.when(slot, kind.cast("long")).otherwise(own)
 
-    return F.transform(words, canonical)
+    return F.zip_with(kinds, literal, canonical)
 
 
 def windows_column(canonical: str, width: Column) -> Column:
@@ -72,29 +76,32 @@ def windows_column(canonical: str, width: Column) -> Column:
 
 
 def templates(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The different items by their words: the smallest id, words, slots and both canonical forms.
+    """The different items by their words: the smallest id, words, slots, both canonical forms and the
+    literal one.
 
     In the second form names are words, for copies in lower case.
     """
     words = items.select(items[id_col].alias("item_id"), words_column(items[text_col]).alias("words"))
     split = words.filter(F.size("words") > 0).groupBy("words").agg(F.min("item_id").alias("item_id"))
-    split = split.withColumn("kinds", kinds_column("words"))
+    split = split.withColumn("kinds", kinds_column("words")).withColumn("literal", literal_column("words"))
     return split.select(
         F.xxhash64("words").alias("template"),
         "item_id",
         "words",
         "kinds",
-        F.array(canonical_column("words", "kinds"), canonical_column("words", "kinds", False)).alias("forms"),
+        F.array(canonical_column("literal", "kinds"), canonical_column("literal", "kinds", False)).alias("forms"),
+        "literal",
         F.least(F.lit(WINDOW), F.size("words")).alias("width"),
     )
 
 
 def template_windows(known: DataFrame) -> DataFrame:
-    """``window`` and the place ``at`` of each window of the templates, in both forms.
+    """``window`` and the place ``at`` of each window of the templates, in all forms.
 
-    A window needs a plain word in every second place, since slots alone say nothing.
+    A window with slots needs a plain word in every second place, since slots alone say nothing; a
+    literal one has no slots.
     """
-    forms = known.select("template", "words", "kinds", "width", F.explode(F.array_distinct("forms")).alias("form"))
+    forms = known.select("template", "width", F.explode(F.array_union("forms", F.array("literal"))).alias("form"))
     placed = forms.select(
         "template", "width", "form", F.posexplode(windows_column("form", F.col("width"))).alias("at", "window")
     )
@@ -103,15 +110,18 @@ def template_windows(known: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, windows: DataFrame, known: DataFrame) -> DataFrame:
-    """Documents (by key) and templates with enough words in place along one shift."""
+    """Documents (by key) and templates with a window in place along one shift."""
     words = docs.select(*row_key(docs["doc_id"], docs["text"]), words_column(docs["text"]).alias("words"))
-    canonical = words.withColumn("kinds", kinds_column("words")).select(
-        *KEY, canonical_column("words", "kinds").alias("form")
-    )
+    hashed = words.select(*KEY, kinds_column("words").alias("kinds"), literal_column("words").alias("literal"))
+    canonical = hashed.select(*KEY, canonical_column("literal", "kinds").alias("form"), "literal")
     widths = [r.width for r in windows.select("width").distinct().collect()]  # at most WINDOW values
     found = None
     for width in widths or [WINDOW]:
-        placed = canonical.select(*KEY, F.posexplode(windows_column("form", F.lit(width))).alias("place", "window"))
+        # The windows of the canonical form, then those of the literal one.
+        both = F.concat(*[windows_column(form, F.lit(width)) for form in ("form", "literal")])
+        placed = canonical.select(
+            *KEY, (F.size("form") - width + 1).alias("n"), F.posexplode(both).alias("place", "window")
+        ).withColumn("place", F.col("place") % F.col("n"))
         own = broadcast_if_small(windows.filter(F.col("width") == width))
         hits = placed.join(own, "window").select(
             *KEY, "template", "width", (F.col("place") - F.col("at")).alias("shift"), "at"
@@ -126,7 +136,6 @@ def candidates(docs: DataFrame, windows: DataFrame, known: DataFrame) -> DataFra
     return (
         lined.withColumn("covered", covered)
         .join(sized, "template")
-        .filter(F.size("covered") >= F.least(F.lit(LEAST), F.size("item")))
         .select(*KEY, "item_id", "item", "kinds", "shift", "covered")
     )
 
@@ -142,10 +151,12 @@ def find_leaks(
     """``docs`` that hold an item of a benchmark, as it is or with other numbers, names and units.
 
     Words are replaced by typed slots: numbers, units after a number, names (capitalised words). Runs of
-    ``WINDOW`` such words are hashed and joined with those of the items; matches of one document and
-    item with the same shift are put together, and ``LEAST`` words in place, or all of a shorter
-    item, make a candidate, which goes on as far as words and slots match. Its slots are then compared: one value of the item must always stand for
-    one value of the document and the other way round. Items below ``WINDOW`` words are one window.
+    ``WINDOW`` such words, and of the words as they are, are hashed and joined with those of the items;
+    the literal ones find copies of items that are mostly names or numbers. Matches of one document and
+    item with the same shift are put together and go on as far as words and slots match; they need
+    ``LEAST`` words in place, or all of a shorter item. Their slots are then compared: one value of the
+    item must always stand for one value of the document and the other way round. Items below
+    ``WINDOW`` words are one window.
 
     Returns a row for each document, item and shift: ``key_a``, ``key_b`` (the row's key), ``doc_id``,
     ``item_id`` (the smallest of items with the same words), ``start_word`` (may be negative if the
@@ -180,6 +191,7 @@ def find_leaks(
 
     each = held.select(*KEY, "doc_id", "words", F.explode("found").alias("x"))
     each = each.withColumn("x", F.col("x").withField("covered", _extended(F.col("x"), F.col("words"))))
+    each = each.filter(F.size("x.covered") >= F.least(F.lit(LEAST), F.size("x.item")))
     each = each.withColumn("slots", slots(F.col("x"))).withColumn("pairs", F.array_distinct("slots"))
     given = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["given"])))
     here = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["here"])))

@@ -59,6 +59,26 @@ def test_leaks(odd, make, items, none, spark):
     assert find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_of_items_dense_in_slots(make, spark):
+    dense = [
+        "What is 12 times 13?",
+        "Compute 12 + 7 * 3 - 18 / 6 + 44 - 2 * 9 + 5 * 11 - 3",
+        "Did Angela Merkel meet Barack Obama in Berlin Germany on Monday June 3 2013",
+        "Which Of These Old Towns Lies Nearest The River Rhine And Its Southern Bank",
+    ]
+    edge = "how many people came to the party with Anna Bob Carl Dora Emil"  # its last windows are mostly slots
+    items = spark.createDataFrame(list(enumerate([*dense, edge])), "item_id long, text string")
+    docs = make(
+        *[(10 + k, f"so they ask: {t} and go on") for k, t in enumerate([*dense, edge])],
+        *[(20 + k, f"so they ask: {t.lower()} and go on") for k, t in enumerate([*dense, edge])],
+        (30, "they ask how many people came to the party with Gina Hans Ida Jan Kurt and go on"),
+        (31, "What is 12 plus 13? Compute 5 + 6 + 7 + 8 + 9 + 10 + 11 + 12 + 13 + 14"),
+        (32, "Ann Bea Cleo Dan Eve Finn Gus in Hamburg on Tuesday July 4 2014"),
+    )
+    got = {(r.doc_id, r.item_id): r.coverage for r in find_leaks(docs, items).collect()}
+    assert got == {**{(10 + k, k): 1.0 for k in range(5)}, **{(20 + k, k): 1.0 for k in range(5)}, (30, 4): 1.0}
+
+
 def test_toxicity(odd, make, none, spark):
     rng = random.Random(5)
     words = [f"w{k}" for k in range(300)]
