@@ -171,7 +171,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that score 0.5 or more; all columns stay."""
+    """``docs`` without those that score 0.5 or more; all columns stay.
+
+    If nothing was learnt, as without usable labels, every score is 0.5 and all documents stay.
+    """
     labels = labels.select("doc_id", "toxic").filter(~held_out(F.col("doc_id")))
     weights = fit(docs.select("doc_id", "text"), labels)
+    if not weights:
+        return docs
     return score(docs, weights).filter("score < 0.5").drop("score")

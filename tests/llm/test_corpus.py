@@ -109,6 +109,15 @@ def test_toxicity_without_labels_or_rows(odd, none, spark):
     assert score_toxicity(none, empty).count() == 0
 
 
+def test_nothing_learnt_rejects_nothing(odd, spark):
+    docs = odd.drop("score")
+    held = [k for k in range(1, 9) if zlib.crc32(str(k).encode()) % 5 == 0]
+    for rows in ([], [(1, None), (5, None)], [(k, 1) for k in held], [(10**6, 1), (10**6 + 1, 0)]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        kept = without_toxic(docs, labels)
+        assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
 def _components(rows, width, percent):
     sets = []
     for _, text in rows:
