@@ -42,7 +42,7 @@ def kind_of(word: Column, before: Column) -> Column:
     first = F.substring(word, 1, 1)
     return (
         F.when(_is_number(word), NUMBER)
-        .when(F.coalesce(_is_number(before), F.lit(False)) & F.lower(word).isin(UNITS), UNIT)
+        .when(F.lower(word).isin(UNITS) & F.coalesce(_is_number(before), F.lit(False)), UNIT)
         .when((first != F.lower(first)) & (word != F.upper(word)), NAME)
         .otherwise(0)
     )
@@ -155,8 +155,8 @@ def find_leaks(
     the literal ones find copies of items that are mostly names or numbers. Matches of one document and
     item with the same shift are put together and go on as far as words and slots match; they need
     ``LEAST`` words in place, or all of a shorter item. Their slots are then compared: one value of the
-    item must always stand for one value of the document and the other way round. Items below
-    ``WINDOW`` words are one window.
+    item must always stand for one value of the document; several of the item may stand for the same,
+    as new values may coincide. Items below ``WINDOW`` words are one window.
 
     Returns a row for each document, item and shift: ``key_a``, ``key_b`` (the row's key), ``doc_id``,
     ``item_id`` (the smallest of items with the same words), ``start_word`` (may be negative if the
@@ -194,8 +194,7 @@ def find_leaks(
     each = each.filter(F.size("x.covered") >= F.least(F.lit(LEAST), F.size("x.item")))
     each = each.withColumn("slots", slots(F.col("x"))).withColumn("pairs", F.array_distinct("slots"))
     given = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["given"])))
-    here = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["here"])))
-    consistent = (F.size(given) == F.size("pairs")) & (F.size(here) == F.size("pairs"))
+    consistent = F.size(given) == F.size("pairs")
     return each.filter(consistent).select(
         *KEY,
         "doc_id",

@@ -79,6 +79,17 @@ def test_leaks_of_items_dense_in_slots(make, spark):
     assert got == {**{(10 + k, k): 1.0 for k in range(5)}, **{(20 + k, k): 1.0 for k in range(5)}, (30, 4): 1.0}
 
 
+def test_leaks_whose_new_values_coincide(make, spark):
+    item = "Maria has 5 apples and 3 pears so how many pieces of fruit does Maria have if she eats 5 of them"
+    other = item.replace("Maria", "Peter")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = make(
+        (10, other.replace("5", "4").replace("3", "4")),
+        (11, other.replace("5 apples", "4 apples").replace("3", "4")),  # 5 is 4, then 5
+    )
+    assert [(r.doc_id, r.n_slots, r.n_changed) for r in find_leaks(docs, items).collect()] == [(10, 5, 5)]
+
+
 def test_toxicity(odd, make, none, spark):
     rng = random.Random(5)
     words = [f"w{k}" for k in range(300)]
