@@ -22,7 +22,8 @@ from farelane.sources.sinks import write_predictions as write
 # The grid point whose model is scored.
 DEPTH, TREES = m.MAX_DEPTHS[0], m.N_TREES[0]
 
-_FITTED: dict[tuple[str, str], PipelineModel] = {}
+# Calendar features alone have few values, so that SQL can find the best cut of a tree of depth 1.
+CALENDAR = ("day_of_week", "hour")
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +31,8 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    """The model of that point, fitted once for each application and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _FITTED[key] = m.fit_gbt(_cleaned(spark, sf_dir), DEPTH, TREES)
-    return _FITTED[key]
+    """The model of that point, fitted anew by each query."""
+    return m.fit_gbt(_cleaned(spark, sf_dir), DEPTH, TREES)
 
 
 def _scored_rows(scored: DataFrame) -> DataFrame:
@@ -104,12 +102,63 @@ def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _good_points(grid.json(f"{artifact}/grid"))
 
 
-@query("SELECT TRUE AS below_deviation")
+@query(
+    sql.with_trips(
+        f"""SELECT feature, cut, round(below, 6) AS mean_below, round(above, 6) AS mean_above,
+              round(sqrt(avg(pow({sql.STUMP_ERROR}, 2))), 6) AS rmse
+            FROM cleaned, best WHERE fare_amount IS NOT NULL GROUP BY feature, cut, below, above""",
+        sql.CLEANED,
+        *sql.best_cut("cleaned"),
+    )
+)
+def boosting_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree of depth 1: its cut, its leaves and its error."""
+    cleaned = _cleaned(spark, sf_dir)
+    model = m.fit_gbt(cleaned, 1, 1, CALENDAR)
+    rows = [m.first_cut(model)]
+    cut = spark.createDataFrame(rows, "feature string, cut double, mean_below double, mean_above double")
+    error = m.evaluate(model, cleaned).scalar()
+    return cut.select("feature", "cut", *[F.round(c, 6).alias(c) for c in ("mean_below", "mean_above")], F.round(error, 6).alias("rmse"))
+
+
+@query(
+    sql.with_trips(
+        f"""SELECT round(sqrt(avg(pow({sql.STUMP_ERROR}, 2))), 6) AS rmse, CAST(0 AS BIGINT) AS n_rejected
+            FROM held, best WHERE split_name = 'test' AND fare_amount IS NOT NULL""",
+        sql.SPLITS,
+        sql.HELD,
+        "learnt AS (SELECT * FROM held WHERE split_name <> 'test')",
+        *sql.best_cut("learnt"),
+    )
+)
 def evaluate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, artifact, _ = _trained_files(spark, sf_dir)
-    test = f"{root}/split_name=test"
-    deviation = clean(spark.read.parquet(test)).agg(F.stddev_pop(LABEL).alias("s")).scalar()
-    return evaluate_file(spark, artifact, test).select((F.col("rmse") < deviation).alias("below_deviation"))
+    """The error on the test split of a model that the train job made, a tree of depth 1."""
+    path, root = fresh_path(spark, "trips") + ".parquet", fresh_path(spark, "splits")
+    artifact = fresh_path(spark, "model")
+    trips(spark, sf_dir).write.parquet(path)
+    train(spark, path, root, artifact, max_depths=(1,), n_trees=(1,), features=CALENDAR)
+    error = evaluate_file(spark, artifact, f"{root}/split_name=test")
+    return error.select(F.round("rmse", 6).alias("rmse"), "n_rejected")
+
+
+@query(
+    sql.with_trips(
+        f"""SELECT 1 AS max_depth, 1 AS n_trees,
+              round(1 - sum(pow({sql.STUMP_ERROR}, 2)) / sum(pow(fare_amount - mean, 2)), 6) AS r2
+            FROM held, best, (SELECT avg(fare_amount) AS mean FROM held WHERE split_name = 'validation')
+            WHERE split_name = 'validation' AND fare_amount IS NOT NULL""",
+        sql.SPLITS,
+        sql.HELD,
+        "learnt AS (SELECT * FROM held WHERE split_name = 'training')",
+        *sql.best_cut("learnt"),
+    )
+)
+def grid_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R² on the validation fold of a grid of one point, a tree of depth 1."""
+    labelled = split_trips(trips(spark, sf_dir))
+    training, validation = (labelled.filter(F.col("split_name") == name) for name in ("training", "validation"))
+    tuned = m.tune(add_features(clean(with_fold(training, validation))), (1,), (1,), CALENDAR)
+    return tuned.grid_frame(spark).select("max_depth", "n_trees", F.round("r2", 6).alias("r2"))
 
 
 @query(sql.with_trips(f"SELECT count(*) AS n_rows, count(*) AS n_equal FROM trips WHERE {sql.CLEAN}"))

@@ -11,7 +11,7 @@ from farelane.session import fresh_path
 from farelane.sources.derived import requests
 from farelane.sources.readers import read_requests
 from farelane.streaming import requests as r
-from farelane.streaming.scoring import read_scored, score_stream
+from farelane.streaming.scoring import read_commits, read_rejects, read_scored, score_stream
 
 def _error_text() -> Column:
     return F.array_join("errors", ",").alias("errors")
@@ -60,7 +60,11 @@ def stream_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("value", _error_text())
 
 
-@query()
+@query(
+    f"""WITH {sql.SCORED_REQUESTS} SELECT pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude,
+          epoch_us(pickup_datetime) AS pickup_us, round({sql.DISTANCE}, 6) AS hav_distance_km,
+          {sql.DAY} AS day_of_week, {sql.HOUR} AS hour, TRUE AS has_fare FROM valid"""
+)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, progress = fresh_path(spark, "stream"), fresh_path(spark, "progress")
     arriving = read_requests(spark, _request_files(spark, sf_dir))
@@ -68,4 +72,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.awaitTermination()
     scored = read_scored(spark, root)
     pickup = F.unix_micros("pickup_datetime").alias("pickup_us")
-    return scored.select(*r.BOUNDS, pickup, "hav_distance_km", "day_of_week", "hour", "fare_amount")
+    distance, has_fare = F.round("hav_distance_km", 6).alias("hav_distance_km"), F.col("fare_amount").isNotNull()
+    return scored.select(*r.BOUNDS, pickup, distance, "day_of_week", "hour", has_fare.alias("has_fare"))
+
+
+@query(
+    f"""WITH {sql.REQUESTS} SELECT count_if(len(errors) = 0) AS n_scored, count_if(len(errors) > 0) AS n_rejects,
+          count_if(len(errors) = 0) AS rows_scored, count_if(len(errors) > 0) AS rows_rejects FROM checked"""
+)
+def stream_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the commits of all batches say, beside what their folders hold."""
+    root, progress = fresh_path(spark, "stream"), fresh_path(spark, "progress")
+    arriving = read_requests(spark, _request_files(spark, sf_dir), max_files=1)
+    score_stream(fitted(spark, sf_dir), arriving, root, progress, availableNow=True).awaitTermination()
+    held = [table(spark, root).agg(F.count(F.lit(1))).scalar().alias(f"rows_{name}") for name, table in (("scored", read_scored), ("rejects", read_rejects))]
+    return read_commits(spark, root).agg(*[F.sum(c).alias(c) for c in ("n_scored", "n_rejects")]).select("*", *held)

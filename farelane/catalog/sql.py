@@ -82,6 +82,30 @@ SPLITS = """hashed AS (SELECT *, CAST(concat('0x', substr(md5(concat('1234:', ke
         WHEN place <= n_test + CAST(ceil((n - n_test) * 0.25) AS BIGINT) THEN 'validation'
         ELSE 'training' END AS split_name FROM ranked, sized)"""
 
+HELD = f"held AS (SELECT {FEATURED} FROM splits WHERE {CLEAN})"
+
+
+def best_cut(table: str) -> tuple[str, ...]:
+    """``best``: of the cuts between the weekdays and between the hours of ``table`` the one that
+    leaves the least squared error, and the mean fares below and above it."""
+    points = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, {c} AS v, count(*) AS n, sum(fare_amount) AS s
+            FROM {table} WHERE fare_amount IS NOT NULL GROUP BY {c}"""
+        for c in ("day_of_week", "hour")
+    )
+    return (
+        f"points AS ({points})",
+        """sums AS (SELECT feature, v, sum(n) OVER up AS n, sum(s) OVER up AS s, lead(v) OVER (PARTITION BY feature ORDER BY v) AS next,
+            sum(n) OVER (PARTITION BY feature) AS all_n, sum(s) OVER (PARTITION BY feature) AS all_s
+            FROM points WINDOW up AS (PARTITION BY feature ORDER BY v))""",
+        """best AS (SELECT feature, (v + next) / 2.0 AS cut, s / n AS below, (all_s - s) / (all_n - n) AS above FROM sums
+            WHERE next IS NOT NULL ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC LIMIT 1)""",
+    )
+
+
+STUMP_ERROR = """(fare_amount - CASE WHEN (CASE feature WHEN 'hour' THEN hour ELSE day_of_week END) < cut
+    THEN below ELSE above END)"""
+
 _NUMBER = r"\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*"
 _TIME = (
     r"\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,12})?)?(Z|[+-]\d{2}(:?\d{2})?)?"
@@ -113,3 +137,12 @@ _ERRORS = f"""CASE WHEN doc IS NULL THEN ['request:invalid'] ELSE list_concat(
 REQUESTS = f"""requests AS ({select_sql(REQUEST_COLUMNS)}),
     docs AS (SELECT key, value, CASE WHEN json_valid(value) THEN value END AS doc FROM requests),
     checked AS (SELECT key, value, doc, {_ERRORS} AS errors FROM docs)"""
+
+# The valid requests with their features.
+SCORED_REQUESTS = f"""{REQUESTS},
+    valid AS (SELECT CAST(json_extract_string(doc, '$.pickup_latitude') AS DOUBLE) AS pickup_latitude,
+        CAST(json_extract_string(doc, '$.pickup_longitude') AS DOUBLE) AS pickup_longitude,
+        CAST(json_extract_string(doc, '$.dropoff_latitude') AS DOUBLE) AS dropoff_latitude,
+        CAST(json_extract_string(doc, '$.dropoff_longitude') AS DOUBLE) AS dropoff_longitude,
+        date_trunc(CASE WHEN key % 3 = 1 THEN 'minute' ELSE 'second' END, ts) AS pickup_datetime
+        FROM checked JOIN events ON key = event_id WHERE len(errors) = 0)"""

@@ -79,3 +79,31 @@ def save_table(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with ``text``, there as a whole or not at all; one of that name is replaced."""
+    fs, target = hadoop_path(spark, path)
+    _, part = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, target):
+        # Some file systems do not rename onto a file.
+        fs.delete(target, False)
+        if not fs.rename(part, target):
+            raise OSError(f"could not write {path}")
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

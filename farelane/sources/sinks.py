@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.operators.sampling import head_sample
-from farelane.operators.split import split_trips
-from farelane.session import hadoop_path
-from farelane.sources.readers import read_trips
+from farelane.operators.split import SEED, split_trips
+from farelane.session import fresh_path, hadoop_path, read_file, write_file
+from farelane.sources.readers import file_sizes, land
 
 
 def write_splits(df: DataFrame, root: str, mode: str = "errorifexists") -> None:
@@ -28,27 +30,96 @@ def has_splits(spark: SparkSession, root: str) -> bool:
     return fs.exists(marker)
 
 
+def fingerprint(spark: SparkSession, path: str, seed: int, sample_rows: int | None) -> dict | None:
+    """What splits are made of: number, bytes and a hash of the names and lengths of the input's
+    files, the seed and the sample; None if the input is gone. Only the sums come to the driver."""
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
+        return None
+    base = fs.getFileStatus(root).getPath().toUri().getPath().rstrip("/")
+    # Names below the input, so that a moved input is still the same.
+    name = F.element_at(F.split("path", base, 2), -1)
+    one = F.xxhash64(name, "length").cast("decimal(38,0)")
+    files = file_sizes(spark, path).agg(F.count("path").alias("n"), F.sum("length").alias("bytes"), F.sum(one).alias("names"))
+    n, size, names = files.first()
+    return {"files": n, "bytes": int(size or 0), "names": str(names), "seed": seed, "sample_rows": sample_rows}
+
+
+def split_manifest(spark: SparkSession, root: str) -> dict:
+    """What was written beside the splits: the input's fingerprint, ``rows`` and ``rejected``; empty
+    for splits without one."""
+    text = read_file(spark, f"{root}/_manifest.json")
+    return json.loads(text) if text else {}
+
+
 def load_or_split(
-    spark: SparkSession, path: str, root: str, sample_rows: int | None = None
+    spark: SparkSession, path: str, root: str, sample_rows: int | None = None, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
     """Training and validation trips: reused from ``root`` when there, else split and written.
 
-    What an unfinished write left under ``root`` is overwritten. ``sample_rows`` limits a new split to the first rows by key; by default all are used.
+    A new split reads the input once (``land``); CSV lines that do not parse are written to
+    ``<root>-rejects`` and counted in the manifest beside the splits. Splits are reused only for what
+    they were made of: another input, seed or sample under the same root is refused. Where the input
+    is gone the splits stand for it. What an unfinished write left under ``root`` is overwritten.
+    ``sample_rows`` limits a new split to the first rows by key; by default all are used.
     """
+    now = fingerprint(spark, path, seed, sample_rows)
     if not has_splits(spark, root):
-        trips = read_trips(spark, path)
+        found = land(spark, path, rejects=f"{root}-rejects")
+        trips = found.trips()
         if sample_rows is not None:
             trips = head_sample(trips, sample_rows)
-        write_splits(split_trips(trips), root, "overwrite")
+        write_splits(split_trips(trips, seed), root, "overwrite")
+        made = {"input": now, "rows": found.rows, "rejected": found.rejected}
+        write_file(spark, f"{root}/_manifest.json", json.dumps(made))
+    elif now is not None:
+        made = split_manifest(spark, root).get("input")
+        other = [k for k in now if made is not None and made.get(k) != now[k]]
+        if other:
+            raise ValueError(f"the splits under {root} were made of something else: {', '.join(other)} differ")
     return read_split(spark, root, "training"), read_split(spark, root, "validation")
 
 
-def write_predictions(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Parquet at a new path. ``files`` bounds the number of output files; left out, every
-    task writes its own, which is what a large table needs. The bound is a shuffle after
-    scoring, so scoring itself stays as wide as the scan."""
-    out = df if files is None else df.repartition(files)
-    out.write.mode("errorifexists").parquet(path)
+#: Bytes of a file of predictions.
+FILE_BYTES = 128 << 20
+#: Rows whose bytes in a file are measured to tell how many rows a file holds.
+TRIAL_ROWS = 10_000
+
+
+def write_balanced(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, rows: int | None = None) -> int:
+    """Parquet at a new path, in files of about ``file_bytes`` however many tasks compute ``df``;
+    returns their number.
+
+    The first rows are written to the shared folder to learn the bytes of a row; with the number of
+    rows (``rows``, else counted, which reads no column that the count doesn't need) that gives the
+    number of files, and a shuffle deals the rows out evenly to them.
+    """
+    spark = df.sparkSession
+    first = df.take(TRIAL_ROWS)
+    total = len(first) if len(first) < TRIAL_ROWS else rows if rows is not None else df.count()
+    files = 1
+    if first:
+        trial = fresh_path(spark, "trial")
+        spark.createDataFrame(first, df.schema).coalesce(1).write.parquet(trial)
+        size = file_sizes(spark, trial).agg(F.sum("length")).first()[0]
+        files = max(1, round(total * size / len(first) / file_bytes))
+    df.repartition(files).write.mode("errorifexists").parquet(path)
+    return files
+
+
+def write_predictions(
+    df: DataFrame,
+    path: str,
+    files: int | None = None,
+    file_bytes: int = FILE_BYTES,
+    rows: int | None = None,
+) -> None:
+    """Parquet at a new path, in files of about ``file_bytes``. ``files`` sets their number instead.
+    Either is a shuffle after scoring, so scoring itself stays as wide as the scan."""
+    if files is None:
+        write_balanced(df, path, file_bytes, rows)
+    else:
+        df.repartition(files).write.mode("errorifexists").parquet(path)
 
 
 def save_model(model: PipelineModel, path: str, grid: DataFrame | None = None) -> None:

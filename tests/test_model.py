@@ -88,6 +88,64 @@ def test_missing_features_can_be_learned_from(folded):
     assert scored.filter("predictions IS NULL OR isnan(predictions)").isEmpty()
 
 
+def test_cells_give_the_trees_that_rows_give(folded):
+    """A fit on weighted cells and one on every binned row for itself make the same cuts."""
+    rows = m.with_label(folded).drop("split")
+    cuts = m.feature_cuts(rows)
+    matrix = m.feature_matrix(rows, cuts)
+    n = rows.count()
+    assert matrix.cells.agg(F.sum("rows")).first()[0] == n > matrix.cells.count()
+    whole = matrix.inputs.transform(rows).withColumn("rows", F.lit(1.0))
+    bins = max(len(c) for c in cuts.values()) + 1
+    a, b = (m._fit_trees(x, 3, 4, bins) for x in (matrix.cells, whole))
+    vectors = matrix.inputs.transform(rows)
+    both = b.setPredictionCol("other").transform(a.transform(vectors))
+    assert both.agg(F.max(F.abs(F.col("prediction") - F.col("other")))).first()[0] < 1e-9
+
+
+def test_cuts(spark):
+    rows = [(None, 3, 1.0), (0.5, 3, 2.0), (1.5, None, 3.0), (2.5, 5, 4.0)] + [(i / 10, 3, 1.0) for i in range(100, 300)]
+    df = spark.createDataFrame(rows, "hav_distance_km double, day_of_week int, fare_amount double")
+    cuts = m.feature_cuts(df, ("hav_distance_km", "day_of_week"), bins=8)
+    assert cuts["day_of_week"] == [1.0, 4.0]
+    assert cuts["hav_distance_km"][0] == -0.5 and len(cuts["hav_distance_km"]) == 8
+    assert cuts["hav_distance_km"] == sorted(set(cuts["hav_distance_km"]))
+    one = m.feature_cuts(df.limit(1).select("day_of_week", "fare_amount"), ("day_of_week",))
+    assert one == {"day_of_week": [0.0]}
+
+
+def test_a_fit_is_made_anew_for_other_rows(spark, tmp_path):
+    """The same folder with another table in it gives another model."""
+    from farelane.catalog.models import fitted
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    first = fitted(spark, str(tmp_path)).stages[-1].toDebugString
+    events.withColumn("user_id", F.lit(0)).withColumn("event_id", F.col("event_id") * 3).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+    spark.catalog.refreshByPath(str(tmp_path / "events.parquet"))
+    assert fitted(spark, str(tmp_path)).stages[-1].toDebugString != first
+
+
+def test_jobs_report_bad_lines(spark, tmp_path):
+    path, root, artifact = (str(tmp_path / n) for n in ("t.csv", "splits", "artifact"))
+    text = F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss 'UTC'")
+    broken = trips(spark, "/root/testdata/sf0.001").withColumn("pickup_datetime", text)
+    broken = broken.withColumn("fare_amount", F.when(F.col("key") % 100 == 0, "x").otherwise(F.col("fare_amount").cast("string")))
+    broken.write.option("header", True).csv(path)
+    tuned = train(spark, path, root, artifact, max_depths=(2,), n_trees=(2,))
+    assert tuned.rejected == 10 and spark.read.parquet(f"{root}-rejects").count() == 10
+    again = train(spark, path, root, artifact, max_depths=(2,), n_trees=(2,))
+    assert again.rejected == 10
+    row = evaluate_file(spark, artifact, path, rejects=str(tmp_path / "bad")).first()
+    assert row.n_rejected == 10 and row.rmse > 0
+    found = run_inference(spark, path, str(tmp_path / "out"), artifact, rejects=str(tmp_path / "bad"))
+    assert (found.rows, found.rejected) == (1000, 10)
+    assert spark.read.parquet(str(tmp_path / "out")).filter("predictions IS NOT NULL").count() == 1000
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 10
+    with pytest.raises(ValueError, match="json"):
+        evaluate_file(spark, artifact, "x.json")
+
+
 def test_jobs(spark, tmp_path):
     path, root, artifact = (str(tmp_path / n) for n in ("t.parquet", "splits", "artifact"))
     trips(spark, SF).write.parquet(path)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from farelane.sources.derived import trips
 from farelane.sources.readers import (
     dataset_profile,
     file_format,
+    land,
     read_any,
     read_trip_rejects,
     read_trips,
@@ -139,5 +141,85 @@ def test_profile(spark, tmp_path, csv_path):
     assert (row.bytes, row.total_rows, row.head_rows) == (len(CSV), 4, 0)
 
 
+def test_landing_counts_and_keeps_bad_lines(spark, tmp_path, csv_path):
+    rejects = str(tmp_path / "rejects")
+    found = land(spark, csv_path, rejects=rejects)
+    assert (found.rows, found.rejected) == (7, 3)
+    assert found.trips().exceptAll(read_trips(spark, csv_path)).isEmpty() and found.trips().count() == 4
+    assert found.trips().columns == read_trips(spark, csv_path).columns
+    assert found.all_rows().select("key", "fare_amount").exceptAll(read_any(spark, csv_path).select("key", "fare_amount")).isEmpty()
+    bad = {r.key: r for r in spark.read.parquet(rejects).collect()}
+    assert {k: r.errors for k, r in bad.items()} == {"4": ["fare_amount"], "5": ["pickup_datetime"], "6": ["line"]}
+    assert bad["4"].fare_amount == "abc" and bad["6"].note == "too short"
+
+
+def test_landing_parses_the_text_once(spark, csv_path):
+    found = land(spark, csv_path)
+    for df in (found.trips(), found.all_rows(), found.rejects()):
+        assert csv_path not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landing_without_bad_lines_or_rows(spark, tmp_path):
+    header, *lines = CSV.splitlines()
+    for name, text, n in (("good", [header, lines[0]], 1), ("empty", [header], 0)):
+        path, rejects = tmp_path / f"{name}.csv", tmp_path / f"{name}-rejects"
+        path.write_text("\n".join(text) + "\n")
+        found = land(spark, str(path), rejects=str(rejects))
+        assert (found.rows, found.rejected, found.trips().count(), found.rejects().count()) == (n, 0, n, 0)
+        assert not rejects.exists()
+
+
+def test_landing_parquet_reads_it_in_place(spark):
+    path = "/root/testdata/sf0.001/events.parquet"
+    found = land(spark, path)
+    assert (found.rows, found.rejected, found.rejects()) == (1000, 0, None)
+    assert found.all_rows().columns == spark.read.parquet(path).columns
+
+
+def test_profile_with_rejects(spark, tmp_path, csv_path):
+    row = dataset_profile(spark, csv_path, rejects=str(tmp_path / "bad")).first()
+    assert (row.bytes, row.total_rows, row.rejected_rows) == (len(CSV), 7, 3)
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 3
+
+
+def test_other_input_is_refused(spark, tmp_path):
+    first, second, root = (str(tmp_path / n) for n in ("a.parquet", "b.parquet", "splits"))
+    df = trips(spark, "/root/testdata/sf0.001")
+    df.write.parquet(first)
+    df.limit(900).write.parquet(second)
+    sinks.load_or_split(spark, first, root)
+    assert sinks.split_manifest(spark, root)["rows"] == 1000
+    again, _ = sinks.load_or_split(spark, first, root)
+    assert again.count() == 562
+    with pytest.raises(ValueError, match="files|bytes|names"):
+        sinks.load_or_split(spark, second, root)
+    with pytest.raises(ValueError, match="sample_rows"):
+        sinks.load_or_split(spark, first, root, sample_rows=10)
+    with pytest.raises(ValueError, match="seed"):
+        sinks.load_or_split(spark, first, root, seed=5)
+    moved = tmp_path / "moved.parquet"
+    shutil.copytree(first, moved)
+    assert sinks.load_or_split(spark, str(moved), root)[0].count() == 562
+
+
+@pytest.mark.parametrize("tasks", [1, 1000])
+def test_files_are_of_one_size(spark, tmp_path, tasks):
+    """Whatever the number of tasks, files are between half of and twice the size asked for."""
+    df = spark.range(300_000, numPartitions=tasks).select("id", F.rand(1).alias("x"), F.md5(F.col("id").cast("string")).alias("t"))
+    out = tmp_path / "out"
+    target = 1 << 20
+    sinks.write_predictions(df, str(out), file_bytes=target)
+    sizes = [f.stat().st_size for f in out.glob("part-*.parquet")]
+    assert len(sizes) > 5 and all(target / 2 < s < target * 2 for s in sizes)
+    assert spark.read.parquet(str(out)).count() == 300_000
+
+
+def test_few_rows_are_one_file(spark, tmp_path):
+    for n in (0, 3):
+        out = tmp_path / f"out{n}"
+        sinks.write_predictions(spark.range(n, numPartitions=50), str(out))
+        assert len(list(out.glob("part-*.parquet"))) == 1 and spark.read.parquet(str(out)).count() == n
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

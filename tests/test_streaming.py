@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from farelane.functions.features import add_features
 from farelane.operators import model as m
@@ -10,7 +11,8 @@ from farelane.operators.quality import clean
 from farelane.sources.derived import trips
 from farelane.sources.readers import read_requests
 from farelane.streaming.requests import load_valid, rejects, validate
-from farelane.streaming.scoring import read_rejects, read_scored, score_stream
+from farelane.streaming import scoring
+from farelane.streaming.scoring import read_commits, read_rejects, read_scored, score_stream
 
 GOOD = {
     "pickup_latitude": 41.5,
@@ -128,6 +130,38 @@ def test_replayed_batch_overwrites(spark, model, tmp_path):
     assert read_rejects(spark, str(out)).count() == 1
 
 
+def test_a_batch_that_dies_between_its_writes_is_not_seen(spark, model, tmp_path, monkeypatch):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    assert read_scored(spark, str(out)).count() == read_rejects(spark, str(out)).count() == 0
+    _write(source, "a.jsonl", [_text(), "not json"])
+    _run(spark, model, source, out)
+
+    _write(source, "b.jsonl", [_text(), _text(), "not json"])
+    # The rejects are written second; their write fails.
+    with monkeypatch.context() as patch:
+        patch.setattr(scoring, "rejects", lambda batch: rejects(batch).select("value", F.raise_error(F.lit("killed")).alias("errors")))
+        with pytest.raises(Exception, match="killed"):
+            _run(spark, model, source, out)
+    assert len(list((out / "scored").glob("batch_id=1/attempt=*/part-*"))) > 0
+    assert (read_scored(spark, str(out)).count(), read_rejects(spark, str(out)).count()) == (1, 1)
+    assert read_commits(spark, str(out)).count() == 1
+
+    _run(spark, model, source, out)
+    assert (read_scored(spark, str(out)).count(), read_rejects(spark, str(out)).count()) == (3, 2)
+    commits = {r.batch_id: (r.n_scored, r.n_rejects) for r in read_commits(spark, str(out)).collect()}
+    assert commits == {0: (1, 1), 1: (2, 1)}
+
+
+def test_empty_tables_have_the_columns_of_full_ones(spark, model, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    before = {n: f(spark, str(out)).columns for n, f in (("scored", read_scored), ("rejects", read_rejects))}
+    _write(source, "a.jsonl", [_text(), "not json"])
+    _run(spark, model, source, out)
+    assert before == {"scored": read_scored(spark, str(out)).columns, "rejects": read_rejects(spark, str(out)).columns}
+
+
 def test_stream_equals_batch(spark, model):
     from farelane.streaming.scoring import score_requests
 
