@@ -138,7 +138,7 @@ def test_profile(spark, tmp_path, csv_path):
     row = dataset_profile(spark, path).first()
     assert (row.bytes, row.total_rows, row.head_rows) == (Path(path).stat().st_size, 1000, 100)
     row = dataset_profile(spark, csv_path).first()
-    assert (row.bytes, row.total_rows, row.head_rows) == (len(CSV), 4, 0)
+    assert (row.bytes, row.total_rows, row.head_rows) == (len(CSV), 7, 0)
 
 
 def test_landing_counts_and_keeps_bad_lines(spark, tmp_path, csv_path):
