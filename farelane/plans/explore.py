@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from farelane.functions.features import add_features
 from farelane.operators.demand import (
@@ -12,10 +13,10 @@ from farelane.operators.demand import (
     HOUR,
     demand_fare_corr,
     demand_fare_table,
-    rolling_count,
+    rolling_counts,
 )
 from farelane.operators.quality import invalid_rate, trim_above, valid_coords, valid_fare, weekdays
-from farelane.operators.quantiles import exact_quantile
+from farelane.operators.quantiles import chained_quantiles, exact_quantile
 from farelane.operators.stats import histogram, median_by, size_by
 from farelane.schema import COORDINATES, LABEL
 from farelane.session import save_table
@@ -58,14 +59,18 @@ def passengers_stage(trips: DataFrame) -> DataFrame:
 
 def explore_stages(trips: DataFrame) -> Stages:
     """Fare, coordinates, passenger outliers, distance outliers, in this order: each
-    quantile is taken over the rows the steps before it left."""
-    after_passengers = passengers_stage(trips)
+    quantile is taken over the rows the steps before it left. Both are found in two passes."""
+    featured = add_features(coords_stage(trips))
+    passengers, distance = chained_quantiles(
+        featured, "passenger_count", PASSENGER_QUANTILE, F.col("hav_distance_km"), DISTANCE_QUANTILE
+    )
+    after_passengers = trim_above(featured, "passenger_count", passengers)
     return Stages(
         raw=trips,
         after_fare=fare_stage(trips),
         after_coords=coords_stage(trips),
         after_passengers=after_passengers,
-        after_distance=trim_quantile(after_passengers, "hav_distance_km", DISTANCE_QUANTILE),
+        after_distance=trim_above(after_passengers, "hav_distance_km", distance),
     )
 
 
@@ -98,9 +103,10 @@ def explore_report(trips: DataFrame) -> dict[str, DataFrame]:
         "median_fare_by_passengers": median_by(explored, "passenger_count"),
         "trips_by_passengers": size_by(explored, "passenger_count"),
     }
+    # One sweep counts for both widths.
     timed = explored.select("key", "pickup_datetime", LABEL)
-    for name, width in DEMAND_WIDTHS.items():
-        counted = rolling_count(timed, width, name)
+    counted = save_table(rolling_counts(timed, DEMAND_WIDTHS), "demand")
+    for name in DEMAND_WIDTHS:
         report[f"{name}_corr"] = demand_fare_corr(counted, name)
         report[f"{name}_table"] = demand_fare_table(counted, name)
     return report

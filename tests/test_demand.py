@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from farelane.operators.demand import HALF_HOUR, HOUR, demand_fare_corr, demand_fare_table, rolling_count
+from farelane.operators.demand import HALF_HOUR, HOUR, demand_fare_corr, demand_fare_table, rolling_count, rolling_counts
 from farelane.operators.quality import clean
 from farelane.sources.derived import trips
 
@@ -64,6 +64,18 @@ def test_crowded_instant_and_bucket(spark, slice_rows):
     assert _counts(df, HOUR, slice_rows=slice_rows) == _brute_force(rows, 60)
 
 
+@pytest.mark.parametrize("slice_rows", [10_000_000, 7])
+def test_several_widths_at_once(spark, slice_rows):
+    """Also widths of which one is not a part of the other, equal ones, and trips on bucket edges."""
+    rng = random.Random(8)
+    rows = [(rng.choice([0, 30, 60, 90, rng.uniform(-100, 200)]), rng.choice([None, 1.0, 2.0])) for _ in range(150)]
+    rows = [(round(m, 3), f) for m, f in rows]
+    widths = {"a": HALF_HOUR, "b": HOUR, "c": 25 * 60_000_000, "d": HOUR, "e": 1}
+    got = rolling_counts(_trips(spark, rows).repartition(3), widths, slice_rows=slice_rows).collect()
+    for name, us in widths.items():
+        assert {r.key: r[name] for r in got} == _brute_force(rows, us / 60_000_000)
+
+
 def test_equals_pandas_rolling(spark, sf_dir):
     df = clean(trips(spark, sf_dir))
     got = _counts(df)

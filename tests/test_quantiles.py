@@ -83,6 +83,35 @@ def test_many_passes(spark, monkeypatch, few):
         assert exact_quantile(df, "x", q) == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
+@pytest.mark.parametrize("few", [4, 10_000])
+def test_a_wrong_sketch_only_costs_passes(spark, monkeypatch, few):
+    """Brackets far from the ranks, with and without the table of the bracket."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    values = sorted(TABLES["uniform"])
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    wrong = quantiles.Sketch(len(values), [values[1000 + i] for i in range(quantiles.GRID + 1)])
+    for q in (0.0, 0.3, 0.5, 0.9, 1.0):
+        assert exact_quantile(df, "x", q, wrong) == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
+
+
+@pytest.mark.parametrize("spread", [8, 5000, 10**12])
+def test_chained_quantiles(spark, spread):
+    """Whole numbers beyond the ones that are counted singly take the longer way."""
+    rng = random.Random(spread)
+    rows = [(rng.choice([None, rng.randint(-spread // 4, spread)]), rng.choice([None, rng.expovariate(1)])) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k long, x double").repartition(5)
+    first, second = quantiles.chained_quantiles(df, "k", 0.98, F.col("x"), 0.99)
+    cut = np.quantile([k for k, _ in rows if k is not None], 0.98)
+    left = [x for k, x in rows if x is not None and (k is None or k <= cut)]
+    assert first == pytest.approx(cut) and second == pytest.approx(np.quantile(left, 0.99), rel=1e-12)
+
+
+def test_chained_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, None)], "k int, x double")
+    assert quantiles.chained_quantiles(df, "k", 0.5, F.col("x"), 0.5) == (None, 1.0)
+    assert quantiles.chained_quantiles(df.limit(0), "k", 0.5, F.col("x"), 0.5) == (None, None)
+
+
 def test_equals_percentile(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     got = exact_quantile(df, F.col("l_extendedprice").cast("double"), 0.37)
