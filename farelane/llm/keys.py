@@ -23,3 +23,24 @@ def row_key(*columns: Column) -> list[Column]:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a hint to broadcast it if it has at most ``rows`` rows; it should be a saved table."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+#: One of so many rows may share a key without being frequent; there are fewer frequent keys than that.
+FREQUENT = 1000
+
+
+def join_frequent(left: DataFrame, right: DataFrame, key: str, count: str) -> DataFrame:
+    """The inner join of ``left`` with ``right``, a saved table that has a row for each of its keys and
+    how many rows of ``left`` have it.
+
+    Keys that more than one of ``FREQUENT`` rows share are broadcast, since there are fewer than that;
+    the rows of other keys are few for each and meet by a shuffle, or a broadcast if that is small.
+    """
+    most = (right.agg(F.sum(count)).first()[0] or 0) // FREQUENT
+    hot = F.broadcast(right.filter(F.col(count) > most))
+    found = left.join(hot, key)
+    rest = right.filter(F.col(count) <= most)
+    if not most or not rest.limit(1).count():
+        return found
+    cold = left.join(F.broadcast(right.filter(F.col(count) > most).select(key)), key, "left_anti")
+    return found.unionByName(cold.join(broadcast_if_small(rest), key))

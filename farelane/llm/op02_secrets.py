@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.texts import slices
+from farelane.llm.keys import join_frequent
 from farelane.session import save_table
 
 # The base kinds in their order, with the least length of a secret.
@@ -34,6 +35,8 @@ KINDS = (*BASE, *ADDED)
 
 #: Owners from which on a secret counts as a copied example.
 COPIED_OWNERS = 3
+#: Repositories from which on a candidate is a copied example, whoever owns them.
+COPIED_REPOS = 25
 
 SPANS = "array<struct<start:long,kind:int,end:long,secret:string>>"
 
@@ -73,7 +76,7 @@ def find_candidates(docs: DataFrame, text_col: str = "text", name: str = "spans"
 
     if name in docs.columns or "text_" in docs.columns:
         raise ValueError(f"the columns {name} and text_ must be free")
-    given = docs.withColumn("text_", docs[text_col])
+    given = docs.withColumn("text_", F.col(text_col))
     schema = docs.schema.simpleString()[len("struct<") : -1]
     return given.mapInArrow(scan, f"{schema},{name}:{SPANS}" if schema else f"{name}:{SPANS}")
 
@@ -96,16 +99,16 @@ def ownership(found: DataFrame, repo: Column, owner: Column) -> DataFrame:
     )
 
 
-def judged(found: DataFrame, repo: Column, owner: Column, copied: int) -> DataFrame:
-    """``row`` and its spans, each with ``live``: held by fewer than ``copied`` owners."""
-    owners = ownership(found, repo, owner)
+def judged(found: DataFrame, repo: Column, owner: Column, copied: int, copied_repos: int) -> DataFrame:
+    """``row`` and its spans, each with ``live``: held by fewer than ``copied`` owners and in fewer than
+    ``copied_repos`` repositories. A secret that many spans hold is not brought together for that."""
+    owners = save_table(ownership(found, repo, owner), "owners")
     spans = found.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("span"))
-    known = spans.select("row", "span.*").join(owners, "secret")
+    known = join_frequent(spans.select("row", "span.*"), owners, "secret", "n_spans")
+    live = (F.col("n_owners") < copied) & (F.col("n_repos") < copied_repos)
     return known.groupBy("row").agg(
         F.array_sort(
-            F.collect_list(
-                F.struct("start", "kind", "end", "secret", (F.col("n_owners") < copied).alias("live"), "n_owners")
-            )
+            F.collect_list(F.struct("start", "kind", "end", "secret", live.alias("live"), "n_owners", "n_repos"))
         ).alias("judged")
     )
 
@@ -124,14 +127,16 @@ def scan_secrets(
     owner_col: str = "source",
     repo_col: str | None = None,
     copied: int = COPIED_OWNERS,
+    copied_repos: int = COPIED_REPOS,
 ) -> DataFrame:
     """One row for each of ``docs``: counts of the base kinds, all spans, and how many look live.
 
     A candidate's hash is counted over the corpus by distinct repositories (``repo_col``, by default
-    each document is one) and owners. One that fewer than ``copied`` owners hold looks live; the
-    others are copied examples. Base spans are always reported; spans of the added kinds only where
-    they look live. ``spans`` is ``kind:start:end`` by start, then kind, in code points, end
-    exclusive; ``found`` has them as structs with ``live`` and ``n_owners``.
+    each document is one) and owners. One that fewer than ``copied`` owners hold, in fewer than
+    ``copied_repos`` repositories, looks live; the others are copied examples. Base spans are always
+    reported; spans of the added kinds only where they look live. ``spans`` is ``kind:start:end`` by
+    start, then kind, in code points, end exclusive; ``found`` has them as structs with ``live``,
+    ``n_owners`` and ``n_repos``.
 
     Null and empty texts have no spans. Null owners and repositories are one value of their own.
     Repeated rows and null ids are rows of their own; an empty table gives no row. Other columns are
@@ -145,9 +150,9 @@ def scan_secrets(
     )
     found = find_candidates(row).drop("text").withColumn("row", F.monotonically_increasing_id())
     found = save_table(found, "secrets")
-    verdicts = judged(found, F.col("repo"), F.col("owner"), copied)
+    verdicts = judged(found, F.col("repo"), F.col("owner"), copied, copied_repos)
     # Rows without candidates, nearly all, need no join.
-    none = F.array().cast("array<struct<start:long,kind:int,end:long,secret:string,live:boolean,n_owners:long>>")
+    none = F.array().cast("array<struct<start:long,kind:int,end:long,secret:string,live:boolean,n_owners:long,n_repos:long>>")
     held = found.filter(F.size("spans") > 0).select("doc_id", "row").join(verdicts, "row").drop("row")
     free = found.filter(F.size("spans") == 0).select("doc_id", none.alias("judged"))
     base = F.filter("judged", lambda x: x["kind"] < len(BASE))
@@ -176,21 +181,25 @@ def redact(
     owner_col: str = "source",
     repo_col: str | None = "doc_id",
     copied: int = COPIED_OWNERS,
+    copied_repos: int = COPIED_REPOS,
     mask: str = "[SECRET]",
 ) -> DataFrame:
     """``docs`` with every live-looking secret's span replaced by ``mask``; all rows and columns stay.
 
-    Copied examples stay as they are. Overlapping spans are one. Null texts stay null.
+    Copied examples stay as they are. Overlapping spans are one. Null texts stay null. Columns may have
+    any names: they travel together, apart from what is added inside.
     """
-    found = find_candidates(docs, text_col, "spans").withColumn("row", F.monotonically_increasing_id())
-    found = save_table(found, "secrets")
-    verdicts = judged(found, F.col(repo_col), F.col(owner_col), copied)
-    live = verdicts.select("row", F.filter("judged", lambda x: x["live"]).alias("live_"))
+    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    of_doc = lambda name: F.col("doc").getField(name)
+    found = find_candidates(given.withColumn("text", of_doc(text_col)), "text", "spans").drop("text")
+    found = save_table(found.withColumn("row", F.monotonically_increasing_id()), "secrets")
+    verdicts = judged(found, of_doc(repo_col), of_doc(owner_col), copied, copied_repos)
+    live = verdicts.select("row", F.filter("judged", lambda x: x["live"]).alias("live"))
     held = found.filter(F.size("spans") > 0).join(live, "row")
     # Text between the spans: each piece goes from the furthest end so far to the next start.
-    text = F.col(text_col)
+    text = of_doc(text_col)
     step = F.aggregate(
-        "live_",
+        "live",
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda a, x: F.struct(
             F.when(x["start"] < a["at"], a["out"])
@@ -206,6 +215,7 @@ def redact(
         ),
         lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))),
     )
-    masked = held.withColumn(text_col, F.when(text.isNotNull(), step))
-    free = found.filter(F.size("spans") == 0)
-    return masked.select(*docs.columns).unionByName(free.select(*docs.columns))
+    masked = F.when(text.isNotNull(), step)
+    changed = F.struct(*[(masked if c == text_col else of_doc(c)).alias(c) for c in docs.columns])
+    free = found.filter(F.size("spans") == 0).select("doc")
+    return held.select(changed.alias("doc")).unionByName(free).select("doc.*")

@@ -67,12 +67,30 @@ def canonical_column(literal: str, kinds: str, names: bool = True) -> Column:
     return F.zip_with(kinds, literal, canonical)
 
 
-def windows_column(canonical: str, width: Column) -> Column:
-    """A hash of each run of ``width`` canonical words."""
-    starts = F.sequence(F.lit(1), F.size(canonical) - width + 1)
-    return F.when(
-        F.size(canonical) >= width, F.transform(starts, lambda i: F.xxhash64(F.slice(canonical, i, width)))
-    ).otherwise(F.array().cast("array<bigint>"))
+def _doubled(column: str, by: int) -> Column:
+    """A hash of each element of an array of run hashes and the one ``by`` places on, which is null
+    beyond the end."""
+    return F.transform(column, lambda x, i: F.xxhash64(x, F.get(column, i + by)))
+
+
+def with_windows(df: DataFrame, forms: list[str], width: int, name: str) -> DataFrame:
+    """``df`` with ``name``, an array of arrays: of each of its columns ``forms`` a hash of each run of
+    ``width`` words, by place.
+
+    Runs of 2, 4, ... words are hashed from the two halves of each; the last halves overlap if ``width``
+    is no power of two. So a word is hashed as often as there are doublings, not as often as a run is
+    wide. Each doubling is a column of its own, which is computed once.
+    """
+    have, steps = 1, []
+    while have < width:
+        steps.append(min(have, width - have))
+        have += steps[-1]
+    columns = [f"{name}_{i}" for i in range(len(forms))]
+    out = df.withColumns({c: F.col(f) for c, f in zip(columns, forms)})
+    for by in steps:
+        out = out.withColumns({c: _doubled(c, by) for c in columns})
+    whole = [F.slice(c, 1, F.greatest(F.size(f) - width + 1, F.lit(0))) for c, f in zip(columns, forms)]
+    return out.withColumn(name, F.array(*whole)).drop(*columns)
 
 
 def templates(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -102,11 +120,18 @@ def template_windows(known: DataFrame) -> DataFrame:
     literal one has no slots.
     """
     forms = known.select("template", "width", F.explode(F.array_union("forms", F.array("literal"))).alias("form"))
-    placed = forms.select(
-        "template", "width", "form", F.posexplode(windows_column("form", F.col("width"))).alias("at", "window")
-    )
+    found = None
+    for width in _widths(known):
+        hashed = with_windows(forms.filter(F.col("width") == width), ["form"], width, "runs")
+        placed = hashed.select("template", "width", "form", F.posexplode(F.get("runs", F.lit(0))).alias("at", "window"))
+        found = placed if found is None else found.unionByName(placed)
     plain = F.size(F.filter(F.slice("form", F.col("at") + 1, F.col("width")), lambda x: ~x.between(1, 3)))
-    return placed.filter(2 * plain >= F.col("width")).select("template", "width", "at", "window").distinct()
+    return found.filter(2 * plain >= F.col("width")).select("template", "width", "at", "window").distinct()
+
+
+def _widths(table: DataFrame) -> list[int]:
+    """The different widths of windows, ``WINDOW`` values at most; that one if there is none."""
+    return [r.width for r in table.select("width").distinct().collect()] or [WINDOW]
 
 
 def candidates(docs: DataFrame, windows: DataFrame, known: DataFrame) -> DataFrame:
@@ -114,13 +139,12 @@ def candidates(docs: DataFrame, windows: DataFrame, known: DataFrame) -> DataFra
     words = docs.select(*row_key(docs["doc_id"], docs["text"]), words_column(docs["text"]).alias("words"))
     hashed = words.select(*KEY, kinds_column("words").alias("kinds"), literal_column("words").alias("literal"))
     canonical = hashed.select(*KEY, canonical_column("literal", "kinds").alias("form"), "literal")
-    widths = [r.width for r in windows.select("width").distinct().collect()]  # at most WINDOW values
     found = None
-    for width in widths or [WINDOW]:
+    for width in _widths(windows):
         # The windows of the canonical form, then those of the literal one.
-        both = F.concat(*[windows_column(form, F.lit(width)) for form in ("form", "literal")])
-        placed = canonical.select(
-            *KEY, (F.size("form") - width + 1).alias("n"), F.posexplode(both).alias("place", "window")
+        runs = with_windows(canonical, ["form", "literal"], width, "runs")
+        placed = runs.select(
+            *KEY, (F.size("form") - width + 1).alias("n"), F.posexplode(F.flatten("runs")).alias("place", "window")
         ).withColumn("place", F.col("place") % F.col("n"))
         own = broadcast_if_small(windows.filter(F.col("width") == width))
         hits = placed.join(own, "window").select(
@@ -156,7 +180,8 @@ def find_leaks(
     item with the same shift are put together and go on as far as words and slots match; they need
     ``LEAST`` words in place, or all of a shorter item. Their slots are then compared: one value of the
     item must always stand for one value of the document; several of the item may stand for the same,
-    as new values may coincide. Items below ``WINDOW`` words are one window.
+    as new values may coincide. ``LEAST`` words in a row that are literally the item's, or all of a
+    shorter item, are enough by themselves. Items below ``WINDOW`` words are one window.
 
     Returns a row for each document, item and shift: ``key_a``, ``key_b`` (the row's key), ``doc_id``,
     ``item_id`` (the smallest of items with the same words), ``start_word`` (may be negative if the
@@ -194,7 +219,9 @@ def find_leaks(
     each = each.filter(F.size("x.covered") >= F.least(F.lit(LEAST), F.size("x.item")))
     each = each.withColumn("slots", slots(F.col("x"))).withColumn("pairs", F.array_distinct("slots"))
     given = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["given"])))
-    consistent = F.size(given) == F.size("pairs")
+    consistent = (F.size(given) == F.size("pairs")) | (
+        _literal_run(F.col("x"), F.col("words")) >= F.least(F.lit(LEAST), F.size("x.item"))
+    )
     return each.filter(consistent).select(
         *KEY,
         "doc_id",
@@ -230,6 +257,16 @@ def _extended(x: Column, words: Column) -> Column:
     )
 
 
+def _literal_run(x: Column, words: Column) -> Column:
+    """The most words in a row, from the first place of a match to its last, that equal the item's."""
+    places = F.sequence(F.array_min(x["covered"]), F.array_max(x["covered"]))
+    equal = F.transform(
+        places,
+        lambda p: F.when(F.lower(F.get(words, x["shift"] + p)) == F.lower(F.get(x["item"], p)), "1").otherwise("0"),
+    )
+    return F.array_max(F.transform(F.split(F.array_join(equal, ""), "0"), F.length))
+
+
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that ``find_leaks`` finds; all columns stay."""
     leaks = save_table(find_leaks(docs, items, id_col, text_col).select(*KEY).distinct(), "leaks")

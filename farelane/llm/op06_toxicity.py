@@ -122,13 +122,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
     return {r.feature: r.weight for r in one.mapInArrow(learned, "feature long, weight double").collect()}
 
 
-def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """``docs`` with ``score``, the probability of label 1; all other columns stay.
-
-    A feature counts once for each document. Null and empty texts have the bias alone.
-    """
-    if "score" in docs.columns or "text_" in docs.columns:
-        raise ValueError("the columns score and text_ must be free")
+def _scored(docs: DataFrame, weights: dict[int, float], text_col: str, bits: int = BITS) -> DataFrame:
+    """``doc``, all columns of ``docs`` as they are, and ``score``."""
     sent = docs.sparkSession.sparkContext.broadcast(
         (np.array(list(weights), dtype=np.int64), np.array(list(weights.values())))
     )
@@ -137,17 +132,27 @@ def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text", bi
         at, weight = sent.value
         dense = np.zeros((1 << bits) + 1)
         dense[at] = weight
-        for batch in slices(batches, "text_", HELD_BYTES):
-            rows, numbers = features(batch.column("text_"), bits)
+        for batch in slices(batches, "text", HELD_BYTES):
+            rows, numbers = features(batch.column("text"), bits)
             used = dense[numbers] != 0
             rows, numbers = distinct(rows[used], numbers[used], bits)
             total = np.bincount(rows, weights=dense[numbers], minlength=batch.num_rows) + dense[-1]
-            place = batch.schema.get_field_index("text_")
             out = pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
-            yield batch.remove_column(place).append_column("score", out)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), out], ["doc", "score"])
+
+    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[text_col].alias("text"))
+    return given.mapInArrow(scored, f"doc {given.schema['doc'].dataType.simpleString()}, score double")
 
-    schema = docs.schema.simpleString()[len("struct<") : -1]
-    return docs.withColumn("text_", docs[text_col]).mapInArrow(scored, f"{schema},score:double")
+
+def score(docs: DataFrame, weights: dict[int, float], text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """``docs`` with ``score``, the probability of label 1; all other columns stay, whatever their names.
+    One that is named ``score`` is an error.
+
+    A feature counts once for each document. Null and empty texts have the bias alone.
+    """
+    if "score" in docs.columns:
+        raise ValueError("the column score must be free")
+    return _scored(docs, weights, text_col, bits).select("doc.*", "score")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -164,14 +169,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     labels = labels.select("doc_id", "toxic").filter(~held_out(F.col("doc_id")))
     weights = fit(docs, labels)
-    rows = docs.withColumn("held_out", held_out(F.col("doc_id")))
     # The text ends here: it is scored under another name and not returned.
-    scored = score(rows.withColumnRenamed("text", "given"), weights, "given")
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").alias("given"))
+    scored = score(rows, weights, "given")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that score 0.5 or more; all columns stay.
+    """``docs`` without those that score 0.5 or more; all columns stay, whatever their names.
 
     If nothing was learnt, as without usable labels, every score is 0.5 and all documents stay.
     """
@@ -179,4 +184,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights = fit(docs.select("doc_id", "text"), labels)
     if not weights:
         return docs
-    return score(docs, weights).filter("score < 0.5").drop("score")
+    return _scored(docs, weights, "text").filter("score < 0.5").select("doc.*")

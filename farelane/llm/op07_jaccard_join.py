@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelane.llm.components import components
-from farelane.llm.keys import BROADCAST_ROWS, KEY, broadcast_if_small, row_key
+from farelane.llm.keys import BROADCAST_ROWS, KEY, broadcast_if_small, join_frequent, row_key
 from farelane.llm.texts import hashes, joined, slices, words_of
 from farelane.session import save_table
 
@@ -414,26 +414,25 @@ def join_components(
     """
     docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     rows = save_table(linked(docs, width, percent), "linked")
-    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("c"))
+    return join_frequent(rows, save_table(least, "least"), "component", "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component: the smallest id, of equal ones the first by key.
 
-    All columns stay. Of repeated rows (same id and text) one stays; documents without words all stay.
+    All columns stay, whatever their names. Of repeated rows (same id and text) one stays; documents
+    without words all stay.
     """
     rows = save_table(linked(docs.select("doc_id", "text"), width, percent), "linked").filter("n > 0")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)
     kept = rows.groupBy("component").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    many = rows.join(kept, "component")
+    many = join_frequent(rows, save_table(kept, "kept"), "component", "c")
     same = (F.col("key_a") == F.col("kept.key_a")) & (F.col("key_b") == F.col("kept.key_b"))
-    names = [f"{k}_" for k in KEY]
     # The keys of rows in a larger component: those that go, and those of which one row stays.
-    touched = save_table(many.withColumn("stays", same).select(*KEY, "stays").distinct().toDF(*names, "stays"), "touched")
-    touched = broadcast_if_small(touched)
-    a, b = row_key(docs["doc_id"], docs["text"])
-    marked = docs.join(touched, (a == F.col(names[0])) & (b == F.col(names[1])), "left")
-    free = marked.filter(F.col("stays").isNull()).select(*[docs[c] for c in docs.columns])
-    stay = marked.filter("stays").dropDuplicates(names).select(*[docs[c] for c in docs.columns])
-    return free.unionByName(stay)
+    touched = save_table(many.withColumn("stays", same).select(*KEY, "stays").distinct(), "touched")
+    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), *row_key(docs["doc_id"], docs["text"]))
+    marked = given.join(broadcast_if_small(touched), KEY, "left")
+    free = marked.filter(F.col("stays").isNull()).select("doc")
+    stay = marked.filter("stays").dropDuplicates(KEY).select("doc")
+    return free.unionByName(stay).select("doc.*")
