@@ -20,8 +20,10 @@ from farelane.llm.keys import BROADCAST_ROWS, KEY, broadcast_if_small, join_freq
 from farelane.llm.texts import hashes, joined, slices, words_of
 from farelane.session import save_table
 
-#: Cells of the sketch of shingle counts, in chunks of a row, and tasks whose sketches meet first.
+#: Cells of each sketch of counts, in chunks of a row, and tasks whose sketches meet first.
 CELL_BITS, CHUNK_BITS, MEETING = 22, 16, 64
+#: Classes of counts that a doubling of the count goes through.
+FINE = 4
 #: Bytes of text whose words and shingles a task holds at once.
 HELD_BYTES = 2 << 20
 #: Rows that a Python worker is sent at once.
@@ -42,76 +44,104 @@ def prefix_size(n: np.ndarray | int, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def shingle_sets(text: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """The set of hashed shingles of each text, sorted; a shorter text is one shingle, an empty one none."""
+def shingle_sets(
+    text: pa.Array, width: int, ranks: tuple[np.ndarray, np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """The set of hashed shingles of each text, sorted; a shorter text is one shingle, an empty one none.
+
+    With ``ranks``, the classes of counts of shingles and of words, also how rare each one is: the
+    smaller of two bounds of its count, its cell's and that of its rarest word, then its words' classes.
+    """
     rows, index, words = words_of(pc.ascii_lower(text))
-    word = hashes(words)[index] if len(index) else np.zeros(0, np.uint64)
-    full = joined(*[word[i : len(word) - width + 1 + i] for i in range(width)]) if len(word) >= width else word[:0]
+    coded = hashes(words)
+    word = coded[index] if len(index) else np.zeros(0, np.uint64)
+    wide = len(word) >= width
+    full = joined(*[word[i : len(word) - width + 1 + i] for i in range(width)]) if wide else word[:0]
+    if ranks is not None:
+        shingles, of_words = ranks
+        own_class = of_words[_cells(coded)][index].astype(np.int64) if len(index) else np.zeros(0, np.int64)
+        parts = [own_class[i : len(word) - width + 1 + i] for i in range(width)] if wide else []
+        least = np.minimum.reduce(parts) if wide else own_class[:0]
+        rare = np.minimum(shingles[_cells(full)], least) * (1 << 16) + sum(parts) if wide else least
     ends = np.searchsorted(rows, np.arange(len(text) + 1)).tolist()
     for lo, hi in zip(ends, ends[1:]):
         if hi - lo >= width:
-            yield np.unique(full[lo : hi - width + 1])
-        elif hi > lo:
-            yield joined(*[word[i : i + 1] for i in range(lo, hi)])
+            own, first = np.unique(full[lo : hi - width + 1], return_index=True)
+            yield own, None if ranks is None else rare[lo : hi - width + 1][first]
         else:
-            yield word[:0]
+            # At most one shingle, which needs no order.
+            own = joined(*[word[i : i + 1] for i in range(lo, hi)]) if hi > lo else word[:0]
+            yield own, None if ranks is None else np.zeros(len(own), np.int64)
+
 
+def _cells(hashed: np.ndarray) -> np.ndarray:
+    return (hashed >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-def count_sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How many documents have a shingle of each cell; a fixed number of cells, whatever the data.
 
-    It only orders shingles, rare ones first; any order gives the same links. Tasks add up their
-    own, then groups of tasks, then all; a cell of one task stops at 255.
+def count_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of how many documents have a shingle of each cell, and how often a word of each cell
+    stands in any: two sketches of a fixed number of cells, whatever the data.
+
+    They only order shingles, rare ones first; any order gives the same links. There are ever more
+    shingles to a cell as a corpus grows, but few new words: where the first sketch is full, a shingle
+    is as rare as its rarest word. Tasks add up their own, then groups of tasks, then all; a cell of
+    one task stops at 255, or 65535 for words.
     """
+    limits = {"shingles": (255, np.uint8), "words": (65535, np.uint16)}
 
     def own(batches):
-        cells = np.zeros(1 << CELL_BITS, dtype=np.uint32)
+        cells = {k: np.zeros(1 << CELL_BITS, dtype=np.int64 if k == "words" else np.uint32) for k in limits}
         seen = 0
         for batch in slices(batches, limit=HELD_BYTES):
-            for own in shingle_sets(batch.column("text"), width):
-                cells[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)] += np.uint32(1)
+            for own, _ in shingle_sets(batch.column("text"), width):
+                cells["shingles"][_cells(own)] += np.uint32(1)
+            _, index, words = words_of(pc.ascii_lower(batch.column("text")))
+            np.add.at(cells["words"], _cells(hashes(words)), np.bincount(index, minlength=len(words)))
             seen += batch.num_rows
         if seen:
             part = TaskContext.get().partitionId()
-            parts = np.minimum(cells, 255).astype(np.uint8).reshape(-1, 1 << CHUNK_BITS)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": list(range(len(parts))),
-                    "part": [part] * len(parts),
-                    "cells": [x.tobytes() for x in parts],
-                }
-            )
-
-    def total(kind: str):
+            for kind, (most, size) in limits.items():
+                parts = np.minimum(cells[kind], most).astype(size).reshape(-1, 1 << CHUNK_BITS)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "kind": [kind] * len(parts),
+                        "chunk": list(range(len(parts))),
+                        "part": [part] * len(parts),
+                        "cells": [x.tobytes() for x in parts],
+                    }
+                )
+
+    def total(first: bool):
         def add(table: pa.Table) -> pa.Table:
-            cells = sum(np.frombuffer(x.as_py(), dtype=kind).astype(np.uint32) for x in table["cells"])
-            first = {k: table[k][:1] for k in ("chunk", "part")}
-            return pa.table({**first, "cells": pa.array([cells.tobytes()], pa.binary())})
+            size = limits[table["kind"][0].as_py()][1] if first else np.uint32
+            cells = sum(np.frombuffer(x.as_py(), dtype=size).astype(np.uint32) for x in table["cells"])
+            keys = {k: table[k][:1] for k in ("kind", "chunk", "part")}
+            return pa.table({**keys, "cells": pa.array([cells.tobytes()], pa.binary())})
 
         return add
 
-    schema = "chunk long, part long, cells binary"
+    schema = "kind string, chunk long, part long, cells binary"
     sketch = docs.select("text").mapInArrow(own, schema).withColumn("meet", F.expr(f"part div {MEETING}"))
-    sketch = sketch.groupBy("chunk", "meet").applyInArrow(total("u1"), schema)
-    cells = np.zeros((1 << CELL_BITS - CHUNK_BITS, 1 << CHUNK_BITS), dtype=np.uint32)
-    for row in sketch.groupBy("chunk").applyInArrow(total("u4"), schema).collect():
-        cells[row.chunk] = np.frombuffer(row.cells, dtype=np.uint32)
-    return cells.reshape(-1)
+    sketch = sketch.groupBy("kind", "chunk", "meet").applyInArrow(total(True), schema)
+    classes = {k: np.zeros((1 << CELL_BITS - CHUNK_BITS, 1 << CHUNK_BITS), dtype=np.uint8) for k in limits}
+    for row in sketch.groupBy("kind", "chunk").applyInArrow(total(False), schema).toLocalIterator():
+        cells = np.frombuffer(row.cells, dtype=np.uint32)
+        classes[row.kind][row.chunk] = (FINE * np.log2(cells.astype(np.float64) + 1)).astype(np.uint8)
+    return classes["shingles"].reshape(-1), classes["words"].reshape(-1)
 
 
 def ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Each row's key, id, set size, 128-bit hash of the set, and its first shingles in the common
-    order: rare cells first, then by hash. Small sets keep all of their shingles."""
-    cells = docs.sparkSession.sparkContext.broadcast(count_sketch(docs, width))
+    order: rare ones first, then by hash. Small sets keep all of their shingles."""
+    ranks = docs.sparkSession.sparkContext.broadcast(count_sketch(docs, width))
 
     def order(batches):
         for batch in slices(batches, limit=HELD_BYTES):
             sizes, set_a, set_b, firsts = [], [], [], []
-            for own in shingle_sets(batch.column("text"), width):
+            for own, rare in shingle_sets(batch.column("text"), width, ranks.value):
                 n = len(own)
                 digest = xxhash.xxh3_128_digest(own.tobytes())
                 a, b = np.frombuffer(digest, dtype=np.int64).tolist()
-                rare = cells.value[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 keep = n if n <= SMALL else int(prefix_size(n, percent))
                 sizes.append(n)
                 set_a.append(a)
@@ -136,7 +166,7 @@ def ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     )
     schema = f"row long, key_a long, key_b long, doc_id {ids}, n long, set_a long, set_b long, firsts array<long>"
     saved = save_table(rows.mapInArrow(order, schema), "sets")
-    cells.destroy()  # the table is read from now on
+    ranks.destroy()  # the table is read from now on
     return saved
 
 
@@ -248,7 +278,7 @@ def verified(pairs: DataFrame, unique: DataFrame, docs: DataFrame, width: int, p
 
     def sets(batches):
         for batch in slices(batches, limit=HELD_BYTES):
-            own = [x.view(np.int64) for x in shingle_sets(batch.column("text"), width)]
+            own = [x.view(np.int64) for x, _ in shingle_sets(batch.column("text"), width)]
             cuts = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
             values = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("node"), values], ["node", "shingles"])
