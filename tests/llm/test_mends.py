@@ -16,6 +16,7 @@ from farelane.llm.op05_decontamination import LEAST, UNITS, WINDOW, find_leaks,
 from farelane.llm.op06_toxicity import ALPHA, BETA, L1, L2, Ftrl, without_toxic
 from farelane.llm.op07_jaccard_join import one_of_each
 from farelane.llm.op08_neighbours import find_nearest
+from farelane.llm.op09_suffix_dedup import string_classes
 
 SF = "/root/testdata/sf0.001"
 
@@ -231,6 +232,27 @@ def test_ftrl_against_the_plain_update():
     assert 0 < np.count_nonzero(got) < 65
 
 
+# ---- suffix buckets against the strings themselves ----
+
+
+def test_buckets_of_equal_strings():
+    rng = random.Random(1)
+    for _ in range(60):
+        length = rng.choice([8, 9, 16, 20, 33, 50])
+        segments = [
+            bytes(rng.choice(b"ab") for _ in range(rng.randint(length, length + 40))) if rng.random() < 0.7 else b"a" * rng.randint(length, 90)
+            for _ in range(rng.randint(1, 12))
+        ]
+        data, sizes = np.frombuffer(b"".join(segments), dtype=np.uint8), np.array([len(x) for x in segments])
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
+        buckets, raw = string_classes(data, left, length), data.tobytes()
+        by_string, by_bucket = {}, {}
+        for i in np.flatnonzero(left >= length):
+            string = raw[i : i + length]
+            assert by_string.setdefault(string, buckets[i]) == buckets[i]
+            assert by_bucket.setdefault(buckets[i], string) == string
+
+
 # ---- nearest neighbours with the factor that the query uses ----
 
 
