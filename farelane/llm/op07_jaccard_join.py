@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from itertools import combinations, count
 from math import comb
 
@@ -12,12 +11,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.llm.components import components
 from farelane.llm.keys import BROADCAST_ROWS, KEY, broadcast_if_small, join_frequent, row_key
-from farelane.llm.texts import hashes, joined, slices, words_of
+from farelane.llm.texts import hashes, joined, slices, small_batches, words_of
 from farelane.session import save_table
 
 #: Cells of each sketch of counts, in chunks of a row, and tasks whose sketches meet first.
@@ -26,8 +25,6 @@ CELL_BITS, CHUNK_BITS, MEETING = 22, 16, 64
 FINE = 4
 #: Bytes of text whose words and shingles a task holds at once.
 HELD_BYTES = 2 << 20
-#: Rows that a Python worker is sent at once.
-BATCH_ROWS = 1000
 #: Largest set that may be light, and rows of subsets that a scanned pair is worth.
 SMALL, PAIR_COST = 32, 4
 #: Members that a list is compared with in one turn.
@@ -384,18 +381,6 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     return edges.unionByName(verified(_bounded(rest, sets, percent), unique, docs, width, percent))
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Fewer rows at once for Python workers while the jobs inside run; the setting is put back."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    given = spark.conf.get(name)
-    spark.conf.set(name, str(min(BATCH_ROWS, int(given)) if int(given) > 0 else BATCH_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, given)
-
-
 def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """As ``_linked``, whose jobs in Python workers all run before it returns, in small batches."""
     with small_batches(docs.sparkSession):

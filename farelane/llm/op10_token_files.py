@@ -6,17 +6,20 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelane.llm.texts import slices
+from farelane.llm.texts import gathered, give_back, slices, small_batches
 from farelane.llm.tokens import Pieces, load
 from farelane.session import fresh_path, hadoop_path
 
 #: Ids in a sequence, sequences in a record batch, and ids after which a file ends with its document.
-WIDTH, BATCH_ROWS, FILE_IDS = 1024, 1024, 1 << 21
+WIDTH, BATCH_SEQUENCES, FILE_IDS = 1024, 1024, 1 << 21
+#: Documents that a Python worker is sent at once.
+BATCH_ROWS = 250
 
 
 def sequence_schema(width: int) -> pa.Schema:
@@ -43,8 +46,8 @@ def file_bytes(doc_ids: pa.Array, starts: np.ndarray, ids: np.ndarray, width: in
     mask = np.arange(rows * width) < len(ids)
     schema = sequence_schema(width)
     with pa.ipc.new_stream(sink, schema) as out:
-        for lo in range(0, rows * width, BATCH_ROWS * width):
-            flat, known = padded[lo : lo + BATCH_ROWS * width], mask[lo : lo + BATCH_ROWS * width]
+        for lo in range(0, rows * width, BATCH_SEQUENCES * width):
+            flat, known = padded[lo : lo + BATCH_SEQUENCES * width], mask[lo : lo + BATCH_SEQUENCES * width]
             columns = [
                 pa.FixedSizeListArray.from_arrays(pa.array(values), type=field.type)
                 for values, field in zip((flat, known), schema)
@@ -68,6 +71,30 @@ def sequences(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=True).reshape(-1, column.type.list_size)
 
 
+def parts_of(batch: pa.RecordBatch):
+    """``doc_id``, where each document's ids start and the ids, of parts of about ``FILE_IDS`` ids."""
+    packed = batch.column("ids").cast(pa.large_binary())
+    ends = np.cumsum(pc.binary_length(packed).to_numpy() // 2)
+    cuts = np.flatnonzero(np.diff(ends // FILE_IDS)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if lo == hi:
+            continue
+        part = packed.slice(lo, hi - lo)
+        offsets = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset : part.offset + len(part) + 1]
+        ids = np.frombuffer(part.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].view("<u2")
+        yield batch.column("doc_id").slice(lo, hi - lo), (offsets - offsets[0]) // 2, ids
+
+
+def range_bounds(rows: DataFrame, partitions: int) -> list[Column]:
+    """Where ranges of the rows' order begin but for the first: at most ``partitions`` - 1 literals."""
+    place = F.struct(*rows.columns)
+    dealt = rows.repartitionByRange(partitions, *rows.columns)
+    least = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.min(place).alias("least"))
+    fields = {x.name: x.dataType for x in rows.schema}
+    begins = [r.least for r in least.orderBy("part").collect()[1:]]
+    return [F.struct(*[F.lit(r[k]).cast(t).alias(k) for k, t in fields.items()]) for r in begins]
+
+
 def write_token_files(
     docs: DataFrame,
     tokenizer: str,
@@ -81,19 +108,27 @@ def write_token_files(
     """Write the ids of ``docs`` in ascending id order below ``root``; return the list of files.
 
     ``root`` is a folder that executors share, by a path or URI of which Arrow has the file system.
-    Documents are dealt out by ranges of (id, hash of the text) and sorted, and each range writes
-    files of its own, which end with a document. A file is named by its range, its number in that
-    and the task's attempt, and gets this name when it is whole: a repeated task writes other files,
-    and only those that the returned table names count. The vocabulary may have 65,536 ids; a larger
-    one is refused.
-
-    Null and empty texts are the end id alone. Null ids come first. Rows of one id are ordered by
-    hash and text; repeated rows are written each for itself. An empty table writes no file.
+    Documents are encoded where they lie; their ids, of 16 bits and smaller than the texts, are dealt
+    out by ranges of (id, hash of the text) and sorted, and each range writes files of its own, which
+    end with a document. A file is named by its range, its number in that and the task's attempt, and
+    gets this name when it is whole: a repeated task writes other files, and only those that the
+    returned table names count. The vocabulary may have 65,536 ids; a larger one is refused.
+
+    Null and empty texts are the end id alone. Null ids come first. Rows of one id are ordered by the
+    text's hash and then its ids; repeated rows are written each for itself. An empty table writes no
+    file.
     """
     if load(tokenizer).get_vocab_size() > 1 << 16:
         raise ValueError("the files hold ids of 16 bits")
     partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def encode(batches):
+        for batch in slices(gathered(batches)):
+            ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
+            buffers = [None, pa.py_buffer((2 * starts).astype(np.int32)), pa.py_buffer(ids.astype("<u2"))]
+            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), packed], ["doc_id", "tie", "ids"])
+
     def write(batches):
         task = TaskContext.get()
         part, attempt, number = task.partitionId(), task.taskAttemptId(), 0
@@ -115,27 +150,35 @@ def write_token_files(
                 {"name": [name], "part": [part], "number": [number], "n_ids": [len(ids)]}
             )
 
-        for batch in slices(batches):
-            ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
-            held.append((batch.column("doc_id"), starts, ids.astype(np.uint16)))
-            size += len(ids)
-            if size >= FILE_IDS:
+        for batch in batches:
+            for doc_ids, starts, ids in parts_of(batch):
+                held.append((doc_ids, starts, ids))
+                size += len(ids)
+                if size < FILE_IDS:
+                    continue
                 yield save()
                 held, size, number = [], 0, number + 1
         if held:
             yield save()
-
+        held = []
+        give_back()
+
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).withColumn("tie", F.xxhash64("text"))
+    bounds = range_bounds(texts.select("doc_id", "tie"), partitions)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    place = F.struct("doc_id", "tie")
+    below = F.size(F.filter(F.array(*bounds), lambda x: x <= place)) if bounds else F.lit(0)
     ordered = (
-        docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange(partitions, "doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie", "text")
-        .select("doc_id", "text")
+        texts.mapInArrow(encode, f"doc_id {kind}, tie long, ids binary")
+        .repartitionById(len(bounds) + 1, below)
+        .sortWithinPartitions("doc_id", "tie", "ids")
+        .select("doc_id", "ids")
     )
     listed = ordered.mapInArrow(write, "name string, part long, number long, n_ids long")
     fs, data = hadoop_path(docs.sparkSession, f"{root}/data")
     fs.mkdirs(data)
-    listed.write.parquet(f"{root}/files")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        listed.write.parquet(f"{root}/files")
     return docs.sparkSession.read.schema(listed.schema).parquet(f"{root}/files")
 
 
@@ -146,8 +189,14 @@ def read_token_files(listed: DataFrame, root: str, id_type: str = "bigint") -> D
     file. An empty list gives no row.
     """
     spark = listed.sparkSession
-    earlier = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    based = listed.select("name", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("base"))
+    # Ids before a file: those of earlier ranges, of which there are as many as tasks wrote, and those of
+    # its own range's earlier files.
+    ranges = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = listed.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    sums = sums.select("part", F.coalesce(F.sum("n").over(ranges), F.lit(0)).alias("before"))
+    earlier = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    based = listed.withColumn("own", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)))
+    based = based.join(sums, "part").select("name", (F.col("before") + F.col("own")).alias("base"))
     # Each file is about FILE_IDS ids, so a file is a row that a task can hold.
     contents = (
         spark.read.format("binaryFile")
@@ -174,6 +223,7 @@ def read_token_files(listed: DataFrame, root: str, id_type: str = "bigint") -> D
                     ],
                     ["name", "doc_id", "local", "n_tokens", "ids_crc32"],
                 )
+        give_back()
 
     found = contents.mapInArrow(
         documents, f"name string, doc_id {id_type}, local long, n_tokens long, ids_crc32 long"

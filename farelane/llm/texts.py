@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of text that are worked on at once; one longer text is a slice of its own.
 SLICE_BYTES = 8 << 20
+#: Rows that a Python worker is sent at once where long texts make larger batches heavy.
+BATCH_ROWS = 1000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xBF58476D1CE4E5B9)
@@ -35,6 +39,32 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
     give_back()
 
 
+def gathered(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Small batches put together to about ``limit`` bytes of text, so that they can be sent small and
+    worked on as one slice."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.column(column).nbytes > limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.column(column).nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Fewer rows at once for Python workers while the jobs inside run; the setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    given = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(given)) if int(given) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given)
+
+
 def give_back() -> None:
     """Return freed memory to the system: a Python worker lives on and shares its executor's memory."""
     pa.default_memory_pool().release_unused()

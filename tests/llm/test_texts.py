@@ -14,7 +14,16 @@ from farelane.llm.op01_licenses import NOTICES, scan_licenses
 from farelane.llm.op02_secrets import redact, scan_secrets
 from farelane.llm.op03_token_counts import count_tokens
 from farelane.llm.op04_packing import fullest, minimum_slack, pack
-from farelane.llm.op10_token_files import file_bytes, open_file, sequences, token_files
+from farelane.llm import op10_token_files
+from farelane.llm.op10_token_files import (
+    file_bytes,
+    open_file,
+    read_token_files,
+    sequences,
+    token_files,
+    write_token_files,
+)
+from farelane.session import fresh_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -181,6 +190,32 @@ def test_token_files_round_trip(odd, none, tokenizer):
     assert token_files(none, tokenizer).count() == 0
 
 
+def test_token_files_of_many_ranges_and_a_hot_id(spark, tokenizer):
+    texts = [(7, f"copy {i % 40} of {i}") for i in range(120)] + [(7, "the same")] * 30 + [(i, f"text {i}") for i in range(60)]
+    docs = spark.createDataFrame([*texts, (None, "no id"), (3, None)], "doc_id long, text string").repartition(3)
+    root = fresh_path(spark, "files")
+    listed = write_token_files(docs, tokenizer, root, partitions=7)
+    assert listed.count() > 3
+    got = read_token_files(listed, root).orderBy("start").collect()
+    encoded = _encoded(docs, tokenizer)
+    assert sorted((str(r[0]), r[2], r[3]) for r in got) == sorted((str(i), len(x) + 1, _crc([*x, 1])) for i, _, x in encoded)
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    assert [r.start for r in got[1:]] == [r.start + r.n_tokens for r in got[:-1]]
+
+
+def test_parts_of_ids_are_whole_documents(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(op10_token_files, "FILE_IDS", 4)
+    values = [np.arange(n, dtype="<u2") for n in (1, 3, 9, 1, 1)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "ids": pa.array([b""] * 4 + [x.tobytes() for x in values])}).slice(4)
+    parts = list(op10_token_files.parts_of(batch))
+    assert len(parts) > 1
+    assert [i for ids, _, _ in parts for i in ids.to_pylist()] == [4, 5, 6, 7, 8]
+    assert [x.tolist() for _, at, ids in parts for x in np.split(ids, at[1:-1])] == [x.tolist() for x in values]
+
+
 def test_token_file_is_read_without_a_copy():
     import pyarrow as pa
 
