@@ -29,6 +29,8 @@ HELD_BYTES = 2 << 20
 SMALL, PAIR_COST = 32, 4
 #: Members that a list is compared with in one turn.
 CENTRES = 4
+#: Words of the smallest bitmap of a set; to so many the members of lists fold theirs.
+LEAST_WORDS = 8
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -41,6 +43,15 @@ def prefix_size(n: np.ndarray | int, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
+def parity_bits(own: np.ndarray) -> np.ndarray:
+    """For each cell of a bitmap whether an odd number of the set's shingles falls in it, in words of
+    64 cells; there are two to four cells for a shingle, or more if it is the smallest bitmap. Cells of
+    two sets that differ are at most as many as the shingles of only one of them."""
+    words = max(LEAST_WORDS, 1 << (max(len(own) - 1, 0) // 32).bit_length())
+    odd = np.bincount(own.view(np.int64) & (64 * words - 1), minlength=64 * words).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
 def shingle_sets(
     text: pa.Array, width: int, ranks: tuple[np.ndarray, np.ndarray] | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
@@ -127,14 +138,19 @@ def count_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     return classes["shingles"].reshape(-1), classes["words"].reshape(-1)
 
 
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    cuts = np.concatenate([[0], np.cumsum([len(x) for x in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)))
+
+
 def ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Each row's key, id, set size, 128-bit hash of the set, and its first shingles in the common
-    order: rare ones first, then by hash. Small sets keep all of their shingles."""
+    """Each row's key, id, set size, 128-bit hash of the set, its bitmap, and its first shingles in the
+    common order: rare ones first, then by hash. Small sets keep all of their shingles."""
     ranks = docs.sparkSession.sparkContext.broadcast(count_sketch(docs, width))
 
     def order(batches):
         for batch in slices(batches, limit=HELD_BYTES):
-            sizes, set_a, set_b, firsts = [], [], [], []
+            sizes, set_a, set_b, bits, firsts = [], [], [], [], []
             for own, rare in shingle_sets(batch.column("text"), width, ranks.value):
                 n = len(own)
                 digest = xxhash.xxh3_128_digest(own.tobytes())
@@ -143,25 +159,26 @@ def ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 sizes.append(n)
                 set_a.append(a)
                 set_b.append(b)
+                bits.append(parity_bits(own))
                 firsts.append(own[np.lexsort((own, rare))[:keep]].view(np.int64))
-            cuts = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
-            values = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(k) for k in ("row", *KEY, "doc_id")),
                     pa.array(sizes, pa.int64()),
                     pa.array(set_a, pa.int64()),
                     pa.array(set_b, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(values)),
+                    _lists(bits),
+                    _lists(firsts),
                 ],
-                ["row", *KEY, "doc_id", "n", "set_a", "set_b", "firsts"],
+                ["row", *KEY, "doc_id", "n", "set_a", "set_b", "bits", "firsts"],
             )
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), *row_key(docs["doc_id"], docs["text"]), "doc_id", "text"
     )
-    schema = f"row long, key_a long, key_b long, doc_id {ids}, n long, set_a long, set_b long, firsts array<long>"
+    schema = f"row long, key_a long, key_b long, doc_id {ids}, n long, set_a long, set_b long, "
+    schema += "bits array<long>, firsts array<long>"
     saved = save_table(rows.mapInArrow(order, schema), "sets")
     ranks.destroy()  # the table is read from now on
     return saved
@@ -255,6 +272,40 @@ def _can_link(most: str, x: str, y: str, percent: int) -> Column:
     return enough & (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def _folded(bits: Column, word: Column, words: Column) -> Column:
+    """That word of a bitmap folded to so many."""
+    places = F.sequence(word, F.size(bits) - 1, words)
+    return F.aggregate(places, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(F.get(bits, k)))
+
+
+def differing(x: str, y: str) -> Column:
+    """Cells in which the bitmaps of two sets differ; the larger is folded to the smaller's cells."""
+    a, b = F.col(f"{x}.bits"), F.col(f"{y}.bits")
+    words = F.least(F.size(a), F.size(b))
+    return F.aggregate(
+        F.sequence(F.lit(0), words - 1),
+        F.lit(0),
+        lambda acc, k: acc + F.bit_count(_folded(a, k, words).bitwiseXOR(_folded(b, k, words))),
+    )
+
+
+def shortened(bits: str) -> Column:
+    """The bitmap folded to ``LEAST_WORDS`` words."""
+    words = F.lit(LEAST_WORDS)
+    return F.transform(F.sequence(F.lit(0), words - 1), lambda k: _folded(F.col(bits), k, words))
+
+
+def differing_short(x: str, y: str) -> Column:
+    """As ``differing`` of shortened bitmaps; without a lambda, so that a join can have it as a condition."""
+    cells = [F.bit_count(F.get(f"{x}.short", F.lit(i)).bitwiseXOR(F.get(f"{y}.short", F.lit(i)))) for i in range(LEAST_WORDS)]
+    return sum(cells[1:], cells[0])
+
+
+def _near(cells: Column, x: str, y: str, percent: int) -> Column:
+    """Whether two sets can link by the cells in which their bitmaps differ: linked ones differ in few shingles."""
+    return cells * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
+
+
 def _bound(x: str, y: str, percent: int) -> Column:
     """Whether two sets can link, from their sizes and first shingles: those after the last common one
     can all be common, those before can't but for the ones that are."""
@@ -276,9 +327,7 @@ def verified(pairs: DataFrame, unique: DataFrame, docs: DataFrame, width: int, p
     def sets(batches):
         for batch in slices(batches, limit=HELD_BYTES):
             own = [x.view(np.int64) for x, _ in shingle_sets(batch.column("text"), width)]
-            cuts = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
-            values = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), values], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(own)], ["node", "shingles"])
 
     # Repeated rows give a set twice.
     whole = save_table(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingles").dropDuplicates(["node"])
@@ -294,9 +343,10 @@ def _first(percent: int) -> Column:
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``u``, ``v``) that can link by the first shingles of both."""
+    """The pairs (``u``, ``v``) that can link by the first shingles and the bitmaps of both."""
     met = pairs.join(sets.toDF("u", "x"), "u").join(sets.toDF("v", "y"), "v")
-    return save_table(met.filter(_bound("x", "y", percent)).select("u", "v"), "pairs")
+    met = met.filter(_bound("x", "y", percent)).filter(_near(differing("x", "y"), "x", "y", percent))
+    return save_table(met.select("u", "v"), "pairs")
 
 
 def _unconnected(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -331,14 +381,14 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
     left out is connected already; how many turns there are does not change what is connected.
     """
     least = -(-percent * limit // 100)
-    kept = unique.filter(F.col("n") >= least).select("node", "n", _first(percent).alias("firsts"))
+    kept = unique.filter(F.col("n") >= least).select("node", "n", "bits", _first(percent).alias("firsts"))
     postings = kept.select("node", "n", F.posexplode("firsts").alias("place", "token"))
     pivots = postings.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("c"))
     shared = postings.join(pivots.filter("c > 1"), "token")
     in_order = Window.partitionBy("node").orderBy("place")  # as many rows as a set has first shingles
     alone = F.col("place") - F.row_number().over(in_order) + 1
     lists = save_table(shared.withColumn("most", F.col("n") - alone).drop("place"), "lists")
-    sets = kept.select("node", F.struct("n", "firsts").alias("set"))
+    sets = kept.select("node", F.struct("n", "bits", "firsts").alias("set"))
 
     size = F.struct("n", "most")
     centres = lists.filter("node = pivot").select("token", F.col("node").alias("v"), size.alias("y"))
@@ -364,10 +414,12 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
         pairs = pairs.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
         more = verified(_bounded(pairs, sets, percent), unique, docs, width, percent)
         edges = save_table(edges.unionByName(more), "links")
-    # A pair meets in every list that both are in; it counts where their smallest common token is.
+    # A pair meets in every list that both are in; it counts where their smallest common token is, and if
+    # their bitmaps are near: those of members just below the limit, which meet pairwise, mostly are not.
     own = members.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-    members = members.join(own, "node").select(
-        "token", F.struct("node", "component", "main", "tokens", "n", "most").alias("x")
+    short = kept.join(own, "node").select("node", "tokens", shortened("bits").alias("short"))
+    members = members.join(short, "node").select(
+        "token", F.struct("node", "component", "main", "tokens", "short", "n", "most").alias("x")
     )
     strays = members.filter("x.component <> x.main")
     met = strays.join(members.withColumnRenamed("x", "y"), "token").filter(
@@ -375,6 +427,7 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") > F.col("y.node")))
         & (F.greatest("x.n", "y.n") >= limit)
         & _can_link("most", "x", "y", percent)
+        & _near(differing_short("x", "y"), "x", "y", percent)
         & (F.element_at(F.array_intersect("x.tokens", "y.tokens"), 1) == F.col("token"))
     )
     rest = met.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
@@ -408,8 +461,8 @@ def _linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     found = components(edges)
     nodes = reps.join(found, "node", "left")
     nodes = nodes.select("set_a", "set_b", F.coalesce("component", "node").alias("component"))
-    rows = held.drop("firsts").join(nodes, ["set_a", "set_b"])
-    alone = sets.filter("n = 0").drop("firsts").withColumn("component", F.col("row"))
+    rows = held.drop("bits", "firsts").join(nodes, ["set_a", "set_b"])
+    alone = sets.filter("n = 0").drop("bits", "firsts").withColumn("component", F.col("row"))
     return rows.select(*alone.columns).unionByName(alone).drop("set_a", "set_b")
 
 
