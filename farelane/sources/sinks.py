@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -80,29 +81,37 @@ def load_or_split(
     return read_split(spark, root, "training"), read_split(spark, root, "validation")
 
 
-#: Bytes of a file of predictions.
-FILE_BYTES = 128 << 20
+#: Bytes of a file of predictions, and of its rows before they are encoded and compressed: the task that
+#: writes a file reads its rows from a shuffle, where equal values don't shrink as they do in Parquet.
+FILE_BYTES, TASK_BYTES = 128 << 20, 128 << 20
 #: Rows whose bytes in a file are measured to tell how many rows a file holds.
 TRIAL_ROWS = 10_000
 
 
-def write_balanced(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, rows: int | None = None) -> int:
-    """Parquet at a new path, in files of about ``file_bytes`` however many tasks compute ``df``;
-    returns their number.
+def write_balanced(
+    df: DataFrame, path: str, file_bytes: int = FILE_BYTES, rows: int | None = None, task_bytes: int = TASK_BYTES
+) -> int:
+    """Parquet at a new path, in files of about ``file_bytes`` however many tasks compute ``df``, or
+    smaller ones of about ``task_bytes`` before encoding and compression; returns their number.
 
-    The first rows are written to the shared folder to learn the bytes of a row; with the number of
-    rows (``rows``, else counted, which reads no column that the count doesn't need) that gives the
-    number of files, and a shuffle deals the rows out evenly to them.
+    The first rows are written to the shared folder, as files hold them and plain, to learn the bytes
+    of a row; with the number of rows (``rows``, else counted, which reads no column that the count
+    doesn't need) that gives the number of files, and a shuffle deals the rows out evenly to them.
     """
     spark = df.sparkSession
     first = df.take(TRIAL_ROWS)
     total = len(first) if len(first) < TRIAL_ROWS else rows if rows is not None else df.count()
     files = 1
     if first:
-        trial = fresh_path(spark, "trial")
-        spark.createDataFrame(first, df.schema).coalesce(1).write.parquet(trial)
-        size = file_sizes(spark, trial).agg(F.sum("length")).first()[0]
-        files = max(1, round(total * size / len(first) / file_bytes))
+        trial = spark.createDataFrame(first, df.schema).coalesce(1)
+
+        def bytes_of_all(**options: str) -> float:
+            at = fresh_path(spark, "trial")
+            trial.write.options(**options).parquet(at)
+            return total * file_sizes(spark, at).agg(F.sum("length")).first()[0] / len(first)
+
+        plain = bytes_of_all(**{"compression": "none", "parquet.enable.dictionary": "false"})
+        files = max(1, round(bytes_of_all() / file_bytes), math.ceil(plain / task_bytes))
     df.repartition(files).write.mode("errorifexists").parquet(path)
     return files
 
@@ -114,7 +123,7 @@ def write_predictions(
     file_bytes: int = FILE_BYTES,
     rows: int | None = None,
 ) -> None:
-    """Parquet at a new path, in files of about ``file_bytes``. ``files`` sets their number instead.
+    """Parquet at a new path, in files as ``write_balanced`` has them. ``files`` sets their number instead.
     Either is a shuffle after scoring, so scoring itself stays as wide as the scan."""
     if files is None:
         write_balanced(df, path, file_bytes, rows)

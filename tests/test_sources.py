@@ -214,6 +214,16 @@ def test_files_are_of_one_size(spark, tmp_path, tasks):
     assert spark.read.parquet(str(out)).count() == 300_000
 
 
+def test_rows_that_compress_well_are_dealt_to_more_tasks(spark, tmp_path):
+    """Equal values take next to nothing in a file, but a task reads them all from the shuffle."""
+    df = spark.range(100_000).select("id", F.lit("x" * 100).alias("a"), F.lit(0.5).alias("b"))
+    out = tmp_path / "out"
+    assert sinks.write_balanced(df, str(out), task_bytes=1 << 20) >= 11
+    per_file = spark.read.parquet(str(out)).groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count")).first()[0] * (100 + 16) < 1.2 * (1 << 20)
+    assert per_file.agg(F.sum("count")).first()[0] == 100_000
+
+
 def test_few_rows_are_one_file(spark, tmp_path):
     for n in (0, 3):
         out = tmp_path / f"out{n}"
