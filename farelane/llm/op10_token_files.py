@@ -122,12 +122,15 @@ def write_token_files(
         raise ValueError("the files hold ids of 16 bits")
     partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
+        buffers = [None, pa.py_buffer((2 * starts).astype(np.int32)), pa.py_buffer(ids.astype("<u2"))]
+        packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), packed], ["doc_id", "tie", "ids"])
+
     def encode(batches):
-        for batch in slices(gathered(batches)):
-            ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
-            buffers = [None, pa.py_buffer((2 * starts).astype(np.int32)), pa.py_buffer(ids.astype("<u2"))]
-            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), packed], ["doc_id", "tie", "ids"])
+        # Nothing of a slice but its ids is left when the next one is gathered.
+        yield from map(encoded, slices(gathered(batches)))
 
     def write(batches):
         task = TaskContext.get()

@@ -74,25 +74,23 @@ def models_letters(path: str) -> bool:
     return all(word_ids(tokenizer, w) == tokenizer.encode(w, add_special_tokens=False).ids for w in words)
 
 
-#: Words that are encoded at once; what the tokenizer returns for one is far larger than the word.
-ENCODED_WORDS = 2048
-#: Parts whose ids are put in place at once.
-GATHERED_PARTS = 1 << 16
-
-
-def _encoded(tokenizer: Tokenizer, words: list[str]):
-    for lo in range(0, len(words), ENCODED_WORDS):
-        yield from tokenizer.encode_batch_fast(words[lo : lo + ENCODED_WORDS], add_special_tokens=False)
+#: Distinct words that are encoded at once; what the tokenizer returns for one is far larger than the word.
+ENCODED_WORDS = 4096
+#: Words whose ids are put in place at once.
+GATHERED_WORDS = 1 << 16
 
 
 class Pieces:
-    """The distinct words of a slice: ``rows`` and ``index`` place them, ``stem`` and ``tail``
-    say what each is made of, a distinct text and the id of a mark after it or -1. ``sizes`` has the
-    number of ids of each distinct text and ``flat`` the ids, unless they are not wanted."""
+    """The distinct words of a slice: ``index`` places them, ``until`` counts the words before each
+    row, ``stem`` and ``tail`` say what each is made of, a distinct text and the id of a mark after it
+    or -1. ``sizes`` has the number of ids of each distinct text and ``flat`` the ids, unless they are
+    not wanted."""
 
     def __init__(self, text: pa.Array, path: str, with_ids: bool = True) -> None:
-        self.rows, self.index, words = words_of(text)
+        rows, self.index, words = words_of(text)
         self.n_rows = len(text)
+        self.until = np.searchsorted(rows, np.arange(len(text) + 1))
+        del rows
         tokenizer = load(path)
         self.tail = np.full(len(words), -1, dtype=np.int64)
         if lowers(path) and len(words):
@@ -108,63 +106,65 @@ class Pieces:
             words = pc.if_else(plain, pc.ascii_lower(words), words)
         coded = words.dictionary_encode()
         self.stem = coded.indices.to_numpy(zero_copy_only=False)
-        stems = coded.dictionary.to_pylist()
+        self.sizes, self.flat = np.empty(len(coded.dictionary), dtype=np.int64), array("I")
+        for lo in range(0, len(self.sizes), ENCODED_WORDS):
+            self._encode(tokenizer, coded.dictionary.slice(lo, ENCODED_WORDS), lo, models_letters(path), with_ids)
+
+    def _encode(self, tokenizer: Tokenizer, words: pa.Array, first: int, by_model: bool, with_ids: bool) -> None:
+        stems = words.to_pylist()
         direct = np.zeros(len(stems), dtype=bool)
-        if models_letters(path) and stems:
-            direct = pc.match_substring_regex(coded.dictionary, _LETTERS).to_numpy(zero_copy_only=False)
-        others = [x for x, known in zip(stems, direct) if not known]
-        rest = _encoded(tokenizer, others)
-        model, table = tokenizer.model, byte_characters()
-        self.sizes, self.flat = np.empty(len(stems), dtype=np.int64), array("I")
-        for i, (stem, known) in enumerate(zip(stems, direct.tolist())):
+        if by_model:
+            direct = pc.match_substring_regex(words, _LETTERS).to_numpy(zero_copy_only=False)
+        others = [x for x, known in zip(stems, direct.tolist()) if not known]
+        rest = iter(tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        tokenize, table = tokenizer.model.tokenize, byte_characters()
+        sizes, flat = [], self.flat
+        for stem, known in zip(stems, direct.tolist()):
             if known:
                 if not stem.isascii():
                     stem = stem.encode().decode("latin-1").translate(table)
-                found = model.tokenize(stem)
+                found = tokenize(stem)
                 if with_ids:
-                    self.flat.extend([x.id for x in found])
+                    flat.extend([x.id for x in found])
             else:
                 found = next(rest)
                 if with_ids:
-                    self.flat.extend(found.ids)
-            self.sizes[i] = len(found)
+                    flat.extend(found.ids)
+            sizes.append(len(found))
+        self.sizes[first : first + len(sizes)] = sizes
 
     def counts(self) -> np.ndarray:
         """Tokens of each row: the count of each distinct word, summed over the row's words."""
+        return np.diff(self._before()[self.until])
+
+    def _before(self) -> np.ndarray:
+        """The tokens of the words before each word, and of all."""
+        before = np.zeros(len(self.index) + 1, dtype=np.int64)
         of_word = self.sizes[self.stem] + (self.tail >= 0) if len(self.stem) else np.zeros(0, np.int64)
-        weights = of_word[self.index] if len(self.index) else np.zeros(0, np.int64)
-        return np.bincount(self.rows, weights=weights, minlength=self.n_rows).astype(np.int64)
+        if len(self.index):
+            np.cumsum(of_word[self.index], out=before[1:])
+        return before
 
     def ids(self, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows one after the other, each with ``end`` after it, and where rows start."""
         sizes, flat = self.sizes, np.frombuffer(self.flat, dtype=np.uint32)
-        n_stems = len(sizes)
-        # The parts that words are made of: stems, then marks, then the row's end.
-        marks = np.unique(self.tail[self.tail >= 0])
-        ends = [end] if end is not None else []
-        flat = np.concatenate([flat, np.array([*marks.tolist(), *ends], dtype=np.uint32)])
-        sizes = np.concatenate([sizes, np.ones(len(marks) + len(ends), dtype=np.int64)])
-        starts = np.cumsum(sizes) - sizes
-        tail = self.tail[self.index] if len(self.index) else np.zeros(0, np.int64)
-        marked = np.flatnonzero(tail >= 0)
-        # Where each word's stem stands among all parts; its mark is next, a row's end after its last.
-        n_parts = 1 + (tail >= 0)
-        until = np.concatenate([[0], np.cumsum(n_parts)])
-        place = until[:-1] + len(ends) * self.rows
-        words_until = np.searchsorted(self.rows, np.arange(self.n_rows + 1))
-        parts_until = until[words_until] + len(ends) * np.arange(self.n_rows + 1)
-        part = np.empty(int(parts_until[-1]), dtype=np.int32)
-        if len(place):
-            part[place] = self.stem[self.index]
-            part[place[marked] + 1] = n_stems + np.searchsorted(marks, tail[marked])
-        if ends:
-            part[parts_until[1:] - 1] = len(sizes) - 1
-        lengths = sizes[part]
-        after = np.concatenate([[0], np.cumsum(lengths)])
-        out = np.empty(int(after[-1]), dtype=np.uint32)
-        for lo in range(0, len(part), GATHERED_PARTS):
-            hi = min(lo + GATHERED_PARTS, len(part))
-            first, last = int(after[lo]), int(after[hi])
-            source = np.repeat(starts[part[lo:hi]] - after[lo:hi], lengths[lo:hi])
-            out[first:last] = flat[source + np.arange(first, last)]
-        return out, after[parts_until]
+        starts, before = np.cumsum(sizes) - sizes, self._before()
+        # Before a row stand its predecessors' words and ends.
+        ends = np.arange(self.n_rows + 1) if end is not None else np.zeros(self.n_rows + 1, np.int64)
+        row_starts = before[self.until] + ends
+        out = np.empty(int(row_starts[-1]), dtype=np.uint32)
+        if end is not None:
+            out[row_starts[1:] - 1] = end
+        for lo in range(0, len(self.index), GATHERED_WORDS):
+            index = self.index[lo : lo + GATHERED_WORDS]
+            stem, tail = self.stem[index], self.tail[index]
+            here = np.diff(np.clip(self.until, lo, lo + len(index)))
+            place = before[lo : lo + len(index)] + np.repeat(ends[:-1], here)
+            lengths = sizes[stem]
+            after = np.cumsum(lengths)
+            numbers = np.arange(int(after[-1]))
+            source = np.repeat(starts[stem] - (after - lengths), lengths) + numbers
+            out[np.repeat(place - (after - lengths), lengths) + numbers] = flat[source]
+            marked = tail >= 0
+            out[(place + lengths)[marked]] = tail[marked]
+        return out, row_starts

@@ -5,16 +5,18 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from farelane.llm.op01_licenses import NOTICES, scan_licenses
 from farelane.llm.op02_secrets import redact, scan_secrets
 from farelane.llm.op03_token_counts import count_tokens
 from farelane.llm.op04_packing import fullest, minimum_slack, pack
-from farelane.llm import op10_token_files
+from farelane.llm import op10_token_files, tokens
 from farelane.llm.op10_token_files import (
     file_bytes,
     open_file,
@@ -23,6 +25,7 @@ from farelane.llm.op10_token_files import (
     token_files,
     write_token_files,
 )
+from farelane.llm.tokens import Pieces
 from farelane.session import fresh_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -133,6 +136,34 @@ def _crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+def test_ids_of_a_slice_take_little_more_than_the_slice(tokenizer):
+    """Beside its ids, a slice's words need one number each while the ids are put in place."""
+    words = np.array(["apple", "Straße,", "naïve", "x1y2", "end."])[np.random.default_rng(1).integers(0, 5, 400_000)]
+    pieces = Pieces(pa.array([" ".join(words)], pa.large_string()), tokenizer)
+    tracemalloc.start()
+    ids, starts = pieces.ids(1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert starts.tolist() == [0, len(ids)] and ids[-1] == 1
+    # Eight bytes a word for its place and as many while they are summed; the rest does not grow.
+    assert peak < ids.nbytes + 20 * len(words) + (8 << 20)
+
+
+def test_ids_across_blocks_of_words(monkeypatch, tokenizer):
+    library = Tokenizer.from_file(tokenizer)
+    texts = ["", "one, two three.", "", "", "a b c d e f g. h,", "É x", "   ", "last."]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for block in (1, 3, 5, 1000):
+        monkeypatch.setattr(tokens, "GATHERED_WORDS", block)
+        monkeypatch.setattr(tokens, "ENCODED_WORDS", block)
+        for end in (None, 1):
+            pieces = Pieces(pa.array(texts, pa.large_string()), tokenizer)
+            ids, starts = pieces.ids(end)
+            got = [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+            assert got == [x + [end] * (end is not None) for x in expected]
+        assert pieces.counts().tolist() == [len(x) for x in expected]
+
+
 def test_packing(odd, none, tokenizer):
     got = pack(odd, tokenizer, 64).collect()
     want = []
