@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelane.session import save_table
@@ -31,18 +31,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, for each node of ``edges`` (``u``, ``v``).
 
-    Every round is written to the shared folder, which cuts the lineage and survives lost executors.
+    Every round is written to the shared folder, which cuts the lineage and survives lost executors, and
+    observed while it is written: a round without change is the last.
     A node with many edges is combined before it is shuffled, and ends as the centre of its star.
     """
     state = None
     now = save_table(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     while True:
-        now = save_table(_small_star(_large_star(now)), "edges")
-        digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        left = tuple(now.agg(F.count(F.lit(1)), digest).first())
-        if left == state:
+        seen, digest = Observation(), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        moved = _small_star(_large_star(now)).observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest"))
+        now, before, state = save_table(moved, "edges"), state, seen.get
+        if state == before:
             break
-        state = left
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centres = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stars.unionByName(centres)

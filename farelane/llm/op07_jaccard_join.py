@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations, count
 from math import comb
@@ -93,7 +94,7 @@ def count_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     They only order shingles, rare ones first; any order gives the same links. There are ever more
     shingles to a cell as a corpus grows, but few new words: where the first sketch is full, a shingle
     is as rare as its rarest word. Tasks add up their own, then groups of tasks, then all; a cell of
-    one task stops at 255, or 65535 for words.
+    one task stops at 255, or 65535 for words. The driver gets the classes, a byte a cell, compressed.
     """
     limits = {"shingles": (255, np.uint8), "words": (65535, np.uint16)}
 
@@ -124,7 +125,10 @@ def count_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
             size = limits[table["kind"][0].as_py()][1] if first else np.uint32
             cells = sum(np.frombuffer(x.as_py(), dtype=size).astype(np.uint32) for x in table["cells"])
             keys = {k: table[k][:1] for k in ("kind", "chunk", "part")}
-            return pa.table({**keys, "cells": pa.array([cells.tobytes()], pa.binary())})
+            packed = cells.tobytes()
+            if not first:
+                packed = zlib.compress((FINE * np.log2(cells.astype(np.float64) + 1)).astype(np.uint8).tobytes(), 1)
+            return pa.table({**keys, "cells": pa.array([packed], pa.binary())})
 
         return add
 
@@ -132,9 +136,8 @@ def count_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     sketch = docs.select("text").mapInArrow(own, schema).withColumn("meet", F.expr(f"part div {MEETING}"))
     sketch = sketch.groupBy("kind", "chunk", "meet").applyInArrow(total(True), schema)
     classes = {k: np.zeros((1 << CELL_BITS - CHUNK_BITS, 1 << CHUNK_BITS), dtype=np.uint8) for k in limits}
-    for row in sketch.groupBy("kind", "chunk").applyInArrow(total(False), schema).toLocalIterator():
-        cells = np.frombuffer(row.cells, dtype=np.uint32)
-        classes[row.kind][row.chunk] = (FINE * np.log2(cells.astype(np.float64) + 1)).astype(np.uint8)
+    for row in sketch.groupBy("kind", "chunk").applyInArrow(total(False), schema).collect():
+        classes[row.kind][row.chunk] = np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8)
     return classes["shingles"].reshape(-1), classes["words"].reshape(-1)
 
 
@@ -217,10 +220,10 @@ def light_limit(unique: DataFrame, percent: int) -> int:
         ).alias("met"),
     )
     pairs = {r.n: (r.postings, r.pairs) for r in scanned.groupBy("n").agg(F.sum("c").alias("postings"), F.sum(F.col("c") * F.col("met")).alias("pairs")).collect()}
-    sizes = {r.n: r.c for r in small.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     for n in range(1, SMALL + 1):
         postings, met = pairs.get(n, (0, 0))
-        if sizes.get(n, 0) * subset_cost(n, percent) > postings + PAIR_COST * met:
+        # A set has as many postings as first shingles.
+        if postings // prefix_size(n, percent) * subset_cost(n, percent) > postings + PAIR_COST * met:
             return n
     return SMALL + 1
 
@@ -368,8 +371,9 @@ def _to_meet(members: DataFrame) -> tuple[int, int]:
     return int(rows or 0), int(pairs or 0) // 2
 
 
-def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int, width: int, percent: int) -> DataFrame:
-    """Edges that connect all linked sets of which one has ``limit`` shingles or more.
+def all_components(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int, width: int, percent: int) -> DataFrame:
+    """``node`` and ``component`` of all linked sets: by the ``light`` edges, and by edges found here that
+    connect those of which one has ``limit`` shingles or more.
 
     Inverted lists hold the first shingles of each set. Lists of one member go. Sets that meet in a
     list have nothing in common before its shingle but what is in other lists, so a set's shingles
@@ -414,6 +418,8 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
         pairs = pairs.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
         more = verified(_bounded(pairs, sets, percent), unique, docs, width, percent)
         edges = save_table(edges.unionByName(more), "links")
+    if not left:
+        return found
     # A pair meets in every list that both are in; it counts where their smallest common token is, and if
     # their bitmaps are near: those of members just below the limit, which meet pairwise, mostly are not.
     own = members.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
@@ -431,7 +437,12 @@ def heavy_edges(unique: DataFrame, light: DataFrame, docs: DataFrame, limit: int
         & (F.element_at(F.array_intersect("x.tokens", "y.tokens"), 1) == F.col("token"))
     )
     rest = met.select(F.greatest("x.node", "y.node").alias("u"), F.least("x.node", "y.node").alias("v")).distinct()
-    return edges.unionByName(verified(_bounded(rest, sets, percent), unique, docs, width, percent))
+    rest = _bounded(rest, sets, percent)
+    if rest.isEmpty():
+        return found
+    # What is connected already goes on as the stars of its components.
+    stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    return components(stars.unionByName(verified(rest, unique, docs, width, percent)))
 
 
 def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -457,8 +468,7 @@ def _linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     unique = unique.withColumnRenamed("row", "node")
     limit = light_limit(unique, percent)
     light = save_table(light_edges(unique, limit, percent), "light")
-    edges = light.unionByName(heavy_edges(unique, light, docs, limit, width, percent))
-    found = components(edges)
+    found = all_components(unique, light, docs, limit, width, percent)
     nodes = reps.join(found, "node", "left")
     nodes = nodes.select("set_a", "set_b", F.coalesce("component", "node").alias("component"))
     rows = held.drop("bits", "firsts").join(nodes, ["set_a", "set_b"])
