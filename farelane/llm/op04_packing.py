@@ -83,37 +83,41 @@ def _runs(plan: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarray
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int) -> DataFrame:
     """The pieces of each document with their place among those of one length in their task."""
 
+    def pieces_of(batch: pa.RecordBatch, block: int, seen: np.ndarray) -> pa.RecordBatch:
+        ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
+        n = np.diff(starts)
+        pieces = -(-n // capacity)
+        row = np.repeat(np.arange(len(n)), pieces)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = piece * capacity
+        length = np.minimum(capacity, n[row] - start)
+        ids, at = ids.astype("<u4", copy=False), starts[row] + start
+        crc = [zlib.crc32(ids[a : a + k]) for a, k in zip(at.tolist(), length.tolist())]
+        # The place of each piece among equal lengths: its rank here and those seen before.
+        order = np.argsort(length, kind="stable")
+        ordered = length[order]
+        rank = np.empty(len(row), dtype=np.int64)
+        rank[order] = np.arange(len(row)) - np.searchsorted(ordered, ordered)
+        place = seen[length] + rank
+        seen += np.bincount(length, minlength=capacity + 1)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(row), block, dtype=np.int32)),
+                pa.array(place),
+                batch.column("doc_id").take(pa.array(row)),
+                pa.array(piece.astype(np.int32)),
+                pa.array(start),
+                pa.array(length.astype(np.int32)),
+                pa.array(crc, pa.int64()),
+            ],
+            ["block", "place", "doc_id", "piece", "start", "length", "ids_crc32"],
+        )
+
     def cut(batches):
         block, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
+        # Nothing of a slice is left when the next one is taken.
         for batch in slices(batches):
-            ids, starts = Pieces(batch.column("text"), tokenizer).ids(end)
-            n = np.diff(starts)
-            pieces = -(-n // capacity)
-            row = np.repeat(np.arange(len(n)), pieces)
-            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            start = piece * capacity
-            length = np.minimum(capacity, n[row] - start)
-            raw, at = ids.astype("<u4").tobytes(), (starts[row] + start) * 4
-            crc = [zlib.crc32(raw[a : a + 4 * k]) for a, k in zip(at.tolist(), length.tolist())]
-            # The place of each piece among equal lengths: its rank here and those seen before.
-            order = np.argsort(length, kind="stable")
-            ordered = length[order]
-            rank = np.empty(len(row), dtype=np.int64)
-            rank[order] = np.arange(len(row)) - np.searchsorted(ordered, ordered)
-            place = seen[length] + rank
-            seen += np.bincount(length, minlength=capacity + 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(row), block, dtype=np.int32)),
-                    pa.array(place),
-                    batch.column("doc_id").take(pa.array(row)),
-                    pa.array(piece.astype(np.int32)),
-                    pa.array(start),
-                    pa.array(length.astype(np.int32)),
-                    pa.array(crc, pa.int64()),
-                ],
-                ["block", "place", "doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            yield pieces_of(batch, block, seen)
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES.format(ids))

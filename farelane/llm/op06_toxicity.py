@@ -21,7 +21,7 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 GAPS = (1, 2)
 
 #: Bytes of text whose features a task holds at once.
-HELD_BYTES = 2 << 20
+HELD_BYTES = 1 << 20
 #: Letters of a word's stem.
 STEM = 5
 
@@ -132,13 +132,17 @@ def _scored(docs: DataFrame, weights: dict[int, float], text_col: str, bits: int
         at, weight = sent.value
         dense = np.zeros((1 << bits) + 1)
         dense[at] = weight
-        for batch in slices(batches, "text", HELD_BYTES):
+
+        def of(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows, numbers = features(batch.column("text"), bits)
             used = dense[numbers] != 0
             rows, numbers = distinct(rows[used], numbers[used], bits)
             total = np.bincount(rows, weights=dense[numbers], minlength=batch.num_rows) + dense[-1]
             out = pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), out], ["doc", "score"])
+            return pa.RecordBatch.from_arrays([batch.column("doc"), out], ["doc", "score"])
+
+        # Nothing of a slice is left when the next one is taken.
+        yield from map(of, slices(batches, "text", HELD_BYTES))
 
     given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[text_col].alias("text"))
     return given.mapInArrow(scored, f"doc {given.schema['doc'].dataType.simpleString()}, score double")

@@ -25,7 +25,7 @@ CELL_BITS, CHUNK_BITS, MEETING = 22, 16, 64
 #: Classes of counts that a doubling of the count goes through.
 FINE = 4
 #: Bytes of text whose words and shingles a task holds at once.
-HELD_BYTES = 2 << 20
+HELD_BYTES = 1 << 20
 #: Largest set that may be light, and rows of subsets that a scanned pair is worth.
 SMALL, PAIR_COST = 32, 4
 #: Members that a list is compared with in one turn.
@@ -99,24 +99,33 @@ def count_sketch(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     limits = {"shingles": (255, np.uint8), "words": (65535, np.uint16)}
 
     def own(batches):
-        cells = {k: np.zeros(1 << CELL_BITS, dtype=np.int64 if k == "words" else np.uint32) for k in limits}
+        # Counts stop at their limits as they grow, so that narrow cells hold them.
+        cells = {"shingles": np.zeros(1 << CELL_BITS, np.uint8), "words": np.zeros(1 << CELL_BITS, np.uint32)}
         seen = 0
+
+        def count(text: pa.Array) -> None:
+            for own, _ in shingle_sets(text, width):
+                at = _cells(own)
+                before = cells["shingles"][at]
+                cells["shingles"][at] = before + (before < limits["shingles"][0])
+            _, index, words = words_of(pc.ascii_lower(text))
+            at = _cells(hashes(words))
+            np.add.at(cells["words"], at, np.bincount(index, minlength=len(words)).astype(np.uint32))
+            cells["words"][at] = np.minimum(cells["words"][at], limits["words"][0])
+
         for batch in slices(batches, limit=HELD_BYTES):
-            for own, _ in shingle_sets(batch.column("text"), width):
-                cells["shingles"][_cells(own)] += np.uint32(1)
-            _, index, words = words_of(pc.ascii_lower(batch.column("text")))
-            np.add.at(cells["words"], _cells(hashes(words)), np.bincount(index, minlength=len(words)))
+            count(batch.column("text"))
             seen += batch.num_rows
         if seen:
             part = TaskContext.get().partitionId()
-            for kind, (most, size) in limits.items():
-                parts = np.minimum(cells[kind], most).astype(size).reshape(-1, 1 << CHUNK_BITS)
+            for kind, (_, size) in limits.items():
+                parts = cells.pop(kind).reshape(-1, 1 << CHUNK_BITS)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "kind": [kind] * len(parts),
                         "chunk": list(range(len(parts))),
                         "part": [part] * len(parts),
-                        "cells": [x.tobytes() for x in parts],
+                        "cells": [x.astype(size).tobytes() for x in parts],
                     }
                 )
 

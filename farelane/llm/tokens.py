@@ -9,6 +9,7 @@ Both hold only for a tokenizer that lowers its input and parts letters from punc
 
 from __future__ import annotations
 
+import os
 from array import array
 from functools import lru_cache
 
@@ -27,7 +28,9 @@ _ENDED = r"[a-zA-Z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}][.,]$"
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Tokenizer:
-    """The tokenizer of a file, once for each process, without truncation or padding."""
+    """The tokenizer of a file, once for each process, without truncation or padding. It encodes in one
+    thread, as a task has one core; threads would keep memory of their own for each core of the machine."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
